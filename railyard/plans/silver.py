@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
 from railyard.rails import Rail
 from railyard.sources.tables import PARTITION, table_exists, table_path
+from railyard.sources.tables import full_refresh as replace_table
 
 EVENT_DAY = PARTITION["silver"]
 
@@ -50,28 +51,28 @@ def with_event_day(rail: Rail, df: DataFrame) -> DataFrame:
     return df.withColumn(EVENT_DAY, F.col(rail.event_day).cast("date"))
 
 
-def table_schema(rail: Rail, silver_rows: DataFrame) -> T.StructType:
+def table_schema(spark: SparkSession, rail: Rail) -> T.StructType:
     """Columns of the written table: silver, load stamp, partition."""
-    stamp = contracts.LOAD_STAMP["silver"]
-    return T.StructType(
-        [*silver_rows.schema.fields, T.StructField(stamp, T.TimestampType()), T.StructField(EVENT_DAY, T.DateType())]
-    )
+    columns = cleanse(rail, spark.createDataFrame([], rail.bronze_schema)).schema.fields
+    stamp = T.StructField(contracts.LOAD_STAMP["silver"], T.TimestampType())
+    return T.StructType([*columns, stamp, T.StructField(EVENT_DAY, T.DateType())])
+
+
+def read_silver(spark: SparkSession, rail: Rail, root: str) -> DataFrame:
+    """The rail's written table. The schema is given, so files older than a column read it as NULL."""
+    return spark.read.schema(table_schema(spark, rail)).parquet(table_path(root, "silver", rail.silver_table))
 
 
 def load_silver(rail: Rail, bronze: DataFrame, root: str, full_refresh: bool = False) -> None:
     """Create or incrementally update the rail's silver table under ``root``."""
     spark = bronze.sparkSession
     path = table_path(root, "silver", rail.silver_table)
-    everything = silver(rail, bronze)
-    schema = table_schema(rail, everything)
     if full_refresh or not table_exists(spark, path):
-        rows = everything
+        rows = silver(rail, bronze)
     else:
-        rows = silver_increment(rail, bronze, spark.read.schema(schema).parquet(path))
+        rows = silver_increment(rail, bronze, read_silver(spark, rail, root))
     rows = with_event_day(rail, contracts.stamped(rows, "silver"))
     if full_refresh:
-        from railyard.sources.tables import full_refresh as replace
-
-        replace(rows, path, EVENT_DAY)
+        replace_table(rows, path, EVENT_DAY)
     else:
-        merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=schema)
+        merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=table_schema(spark, rail))
