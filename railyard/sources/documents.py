@@ -25,11 +25,12 @@ def project_documents(docs: DataFrame, column: str, schema: T.StructType | None
 
 
 def document_fields(docs: DataFrame, column: str) -> DataFrame:
-    """Per top-level field and type: in how many documents it occurs."""
+    """Per top-level field and kind of value (STRING, DECIMAL, OBJECT, ...): in how many documents it occurs."""
     parsed = docs.select(F.parse_json(F.col(column)).alias("v"))
     exploded = parsed.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    kind = F.regexp_extract(F.schema_of_variant(F.col("value")), "^[A-Z_]+", 0)
     return (
-        exploded.select(F.col("key").alias("field"), F.schema_of_variant(F.col("value")).alias("type"))
+        exploded.select(F.col("key").alias("field"), kind.alias("type"))
         .groupBy("field", "type")
         .agg(F.count("*").alias("documents"))
     )

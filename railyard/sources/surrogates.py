@@ -225,8 +225,10 @@ BRONZE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "atm": atm,
 }
 
-# Arrival numbers of the closing events; all ordinary ones are day numbers times 16 and far below.
-DELETE_SEQ, REINSERT_SEQ = 1_000_000_000, 2_000_000_000
+# Arrival numbers: an ordinary event's is its day number times ``SEQ_PER_DAY`` plus its cents, so two
+# events of a key do not share one. Closing events come after all of them.
+SEQ_PER_DAY = 100_000_000
+DELETE_SEQ, REINSERT_SEQ = 10_000_000_000_000, 20_000_000_000_000
 
 
 def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_number: Column) -> DataFrame:
@@ -236,8 +238,10 @@ def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_num
     is a multiple of 17 ends with a delete; a multiple of 34 is inserted again after it.
     """
     days = F.unix_date(F.col(event_time).cast("date")).cast("bigint")
+    cents = F.coalesce(F.col("amount_egp") * 100, F.lit(0)).cast("bigint")
+    arrival = days * SEQ_PER_DAY + cents
     numbered = rows.withColumn("_order", order_number)
-    events = numbered.withColumn("op", F.when(days % 3 == 0, "u").otherwise("c")).withColumn("seq", days * 16)
+    events = numbered.withColumn("op", F.when(days % 3 == 0, "u").otherwise("c")).withColumn("seq", arrival)
     gone = numbered.filter(F.col("_order") % 17 == 0)
     deletes = gone.select(
         [F.col(c) if c in keys else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]
@@ -246,7 +250,7 @@ def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_num
     back = (
         numbered.filter(F.col("_order") % 34 == 0)
         .withColumn("op", F.lit("c"))
-        .withColumn("seq", F.lit(REINSERT_SEQ).cast("bigint"))
+        .withColumn("seq", F.lit(REINSERT_SEQ).cast("bigint") + arrival)
     )
     return events.unionByName(deletes).unionByName(back).drop("_order")
 
