@@ -29,24 +29,36 @@ def parse_events(events: DataFrame, column: str = "value") -> DataFrame:
     return events.select(F.from_json(F.col(column), EVENT_SCHEMA).alias("_e"), *others).select("_e.*", *others)
 
 
+def _lookup(choices: list[tuple[Column, str]], default: str) -> Column:
+    found = F.lit(default)
+    for condition, value in reversed(choices):
+        found = F.when(condition, value).otherwise(found)
+    return found
+
+
 def dataset_urn(namespace: Column, name: Column) -> Column:
-    platform = F
-    for prefix, value in PLATFORMS.items():
-        platform = platform.when(namespace.startswith(prefix), value)
-    return F.format_string(
-        DATASET_FORMAT, platform.otherwise(DEFAULT_PLATFORM), F.replace(F.coalesce(name, F.lit("")), F.lit("."), F.lit("/"))
-    )
+    platform = _lookup([(namespace.startswith(p), v) for p, v in PLATFORMS.items()], DEFAULT_PLATFORM)
+    path = F.replace(F.coalesce(name, F.lit("")), F.lit("."), F.lit("/"))
+    head, middle, tail = DATASET_FORMAT.split("%s")
+    return F.concat(F.lit(head), platform, F.lit(middle), path, F.lit(tail))
 
 
 def edges(events: DataFrame) -> DataFrame:
-    """One row per output and input of each completed event. Events lacking either give none."""
-    done = events.filter(F.col("eventType") == "COMPLETE")
-    outputs = done.select("inputs", F.explode("outputs").alias("o"))
-    pairs = outputs.select("o", F.explode("inputs").alias("i"))
-    return pairs.select(
-        dataset_urn(F.col("o.namespace"), F.col("o.name")).alias("downstream"),
-        dataset_urn(F.col("i.namespace"), F.col("i.name")).alias("upstream"),
-    )
+    """One row per output and input of each completed event. Events lacking either give none.
+
+    The pairs are formed inside the event's own arrays and exploded once. ``explode_outer`` keeps the
+    optimizer from adding a size filter below the explode, which would parse the JSON again.
+    """
+
+    def pair(output: Column) -> Column:
+        down = dataset_urn(output["namespace"], output["name"])
+        return F.transform(
+            F.col("inputs"),
+            lambda i: F.struct(down.alias("downstream"), dataset_urn(i["namespace"], i["name"]).alias("upstream")),
+        )
+
+    pairs = F.when(F.col("eventType") == "COMPLETE", F.flatten(F.transform("outputs", pair)))
+    return events.select(F.explode_outer(pairs).alias("_pair")).filter(F.col("_pair").isNotNull()).select("_pair.*")
 
 
 def distinct_edges(events: DataFrame) -> DataFrame:
@@ -56,10 +68,8 @@ def distinct_edges(events: DataFrame) -> DataFrame:
 
 def run_status(events: DataFrame, order: list[str]) -> DataFrame:
     """Latest state per run. An unknown event type counts as complete; events without a run are left out."""
-    state = F
-    for event_type, value in RUN_STATES.items():
-        state = state.when(F.col("eventType") == event_type, value)
+    state = _lookup([(F.col("eventType") == t, v) for t, v in RUN_STATES.items()], DEFAULT_STATE)
     runs = events.select(
-        F.col("run.runId").alias("run_id"), state.otherwise(DEFAULT_STATE).alias("run_state"), *order
+        F.col("run.runId").alias("run_id"), state.alias("run_state"), *order
     ).filter(F.col("run_id") != "")
     return latest_per_key(runs, ["run_id"], order)

@@ -9,169 +9,149 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard import contracts
 from railyard.session import pin_utc
-from railyard.sources.documents import project_documents, to_document
+from railyard.sources.documents import WRITE_OPTIONS, project_documents
+
+# Declared, so that no job has to infer them.
+TABLES = {
+    "customer": contracts.contract(
+        c_custkey="bigint", c_name="string", c_nationkey="int", c_acctbal="double", c_mktsegment="string"
+    ),
+    "supplier": contracts.contract(s_suppkey="bigint", s_name="string", s_nationkey="int", s_acctbal="double"),
+    "orders": contracts.contract(
+        o_orderkey="bigint", o_custkey="bigint", o_orderstatus="string", o_totalprice="double", o_orderdate="moment",
+        o_orderpriority="string",
+    ),
+    "lineitem": contracts.contract(
+        l_orderkey="bigint", l_partkey="bigint", l_suppkey="bigint", l_linenumber="int", l_quantity="double",
+        l_extendedprice="double", l_discount="double", l_tax="double", l_returnflag="string", l_linestatus="string",
+        l_shipdate="moment",
+    ),
+    "events": contracts.contract(
+        event_id="bigint", ts="moment", user_id="bigint", event_type="string", value="double", props="string"
+    ),
+    "documents": contracts.contract(
+        doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint"
+    ),
+}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-
-
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _null_if(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def _pick(selector: Column, *choices: str | None) -> Column:
-    """The choice at position ``selector`` (0-based); NULL choices stay NULL."""
-    out = F
-    for i, choice in enumerate(choices):
-        out = out.when(selector == i, F.lit(choice).cast("string"))
-    return out
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number inside ``props`` parsed once."""
+    return load(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS BIGINT) AS number")
 
 
-def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+def _bronze(rows: DataFrame, table: str, **columns: str) -> DataFrame:
+    """Project by SQL expressions and cast to the bronze contract."""
+    schema = contracts.BRONZE[table]
+    return rows.selectExpr([f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
 
 
 def ach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order's customer and its supplier as the two banks."""
     line = load(spark, sf_dir, "lineitem")
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    payer = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = line.join(payer, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        supplier, F.col("l_suppkey") == F.col("s_suppkey")
-    )
-    status = (
-        F.when(F.col("l_returnflag") == "R", " returned ")
-        .when(F.col("l_returnflag") == "A", "Settled")
-        .when(F.col("l_linestatus") == "F", "FAILED")
-        .otherwise("pending")
+    payer = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    rows = line.join(payer, F.expr("l_orderkey = o_orderkey")).join(
+        load(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey")
     )
     return _bronze(
         rows,
         "ach_transactions",
-        txn_id=_text(F.col("l_orderkey"), "-", F.col("l_linenumber")),
-        batch_id=_text("B", F.col("l_suppkey")),
-        txn_type=_pick(F.col("l_linenumber") % 3, " credit ", "Debit", "RETURN"),
-        originating_bank_id=_text(" bnk", F.col("c_nationkey")),
-        receiving_bank_id=_text("Bnk", F.col("s_nationkey"), " "),
-        originator_account=_text("ACC", F.col("o_custkey")),
-        receiver_account=_text("ACC", F.col("l_suppkey")),
-        amount_egp=_null_if(F.col("l_partkey") % 97 == 0, F.col("l_extendedprice")),
-        currency_code=_null_if(F.col("l_partkey") % 5 == 0, F.lit("EGP")),
-        txn_status=status,
-        created_at=F.col("l_shipdate"),
-        settlement_date=_null_if(F.col("l_partkey") % 50 == 0, F.col("l_shipdate").cast("date")),
+        txn_id="concat(l_orderkey, '-', l_linenumber)",
+        batch_id="concat('B', l_suppkey)",
+        txn_type="element_at(array(' credit ', 'Debit', 'RETURN'), l_linenumber % 3 + 1)",
+        originating_bank_id="concat(' bnk', c_nationkey)",
+        receiving_bank_id="concat('Bnk', s_nationkey, ' ')",
+        originator_account="concat('ACC', o_custkey)",
+        receiver_account="concat('ACC', l_suppkey)",
+        amount_egp="if(l_partkey % 97 = 0, NULL, l_extendedprice)",
+        currency_code="if(l_partkey % 5 = 0, NULL, 'EGP')",
+        txn_status="""CASE WHEN l_returnflag = 'R' THEN ' returned ' WHEN l_returnflag = 'A' THEN 'Settled'
+                           WHEN l_linestatus = 'F' THEN 'FAILED' ELSE 'pending' END""",
+        created_at="l_shipdate",
+        settlement_date="if(l_partkey % 50 = 0, NULL, CAST(l_shipdate AS DATE))",
     )
 
 
 def meeza(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    channel = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", " pos")
-        .when(F.col("o_orderpriority") == "2-HIGH", "ecommerce ")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Atm")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "contactless")
-    )
-    status = (
-        F.when(customer % 37 == 0, F.lit(None).cast("string"))
-        .when(F.col("o_orderstatus") == "F", "approved")
-        .when(F.col("o_orderstatus") == "O", " Declined ")
-        .otherwise("reversed")
-    )
     return _bronze(
         load(spark, sf_dir, "orders"),
         "meeza_authorisations",
-        auth_id=_text("A", key),
-        card_token=_null_if(customer % 29 == 0, _text("tok_", customer)),
-        merchant_id=_null_if(key % 31 == 0, _text("M", customer % 500)),
-        merchant_category=_pick(key % 4, "GROCERY", "FUEL", "TRAVEL", None),
-        terminal_id=_null_if(key % 5 == 0, _text("T", customer % 97)),
-        txn_type=F.when(key % 9 == 0, "Refund").otherwise("purchase"),
-        channel=channel,
-        amount_egp=F.col("o_totalprice"),
-        currency_code=F.lit("EGP"),
-        response_code=_pick(key % 6, "00", "05", "51", "14", None, "00"),
-        auth_status=status,
-        issuing_bank_id=_text("BNK", customer % 25),
-        acquiring_bank_id=_null_if(key % 11 == 0, _text("BNK", key % 25)),
-        is_international=_null_if(key % 10 == 0, key % 33 == 0),
-        auth_timestamp=_plus_seconds(F.col("o_orderdate"), key % 86400),
-        settlement_date=_null_if(key % 3 == 0, F.date_add(F.col("o_orderdate").cast("date"), 1)),
+        auth_id="concat('A', o_orderkey)",
+        card_token="if(o_custkey % 29 = 0, NULL, concat('tok_', o_custkey))",
+        merchant_id="if(o_orderkey % 31 = 0, NULL, concat('M', o_custkey % 500))",
+        merchant_category="element_at(array('GROCERY', 'FUEL', 'TRAVEL', NULL), CAST(o_orderkey % 4 + 1 AS INT))",
+        terminal_id="if(o_orderkey % 5 = 0, NULL, concat('T', o_custkey % 97))",
+        txn_type="if(o_orderkey % 9 = 0, 'Refund', 'purchase')",
+        channel="""CASE o_orderpriority WHEN '1-URGENT' THEN ' pos' WHEN '2-HIGH' THEN 'ecommerce '
+                        WHEN '3-MEDIUM' THEN 'Atm' WHEN '4-NOT SPECIFIED' THEN 'contactless' END""",
+        amount_egp="o_totalprice",
+        currency_code="'EGP'",
+        response_code="element_at(array('00', '05', '51', '14', NULL, '00'), CAST(o_orderkey % 6 + 1 AS INT))",
+        auth_status="""CASE WHEN o_custkey % 37 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'approved'
+                            WHEN o_orderstatus = 'O' THEN ' Declined ' ELSE 'reversed' END""",
+        issuing_bank_id="concat('BNK', o_custkey % 25)",
+        acquiring_bank_id="if(o_orderkey % 11 = 0, NULL, concat('BNK', o_orderkey % 25))",
+        is_international="if(o_orderkey % 10 = 0, NULL, o_orderkey % 33 = 0)",
+        auth_timestamp="o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)",
+        settlement_date="if(o_orderkey % 3 = 0, NULL, date_add(CAST(o_orderdate AS DATE), 1))",
     )
 
 
-def _event_number() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("bigint")
-
-
 def ipn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of one user in one hour are versions of one payment."""
-    user, kind, number = F.col("user_id"), F.col("event_type"), _event_number()
-    purpose = (
-        F.when(kind == "purchase", "merchant").when(kind == "view", " bill ").when(kind == "click", "salary")
-        .when(kind == "error", "p2p")
-    )
-    status = (
-        F.when(kind == "purchase", "completed").when(kind == "view", " Completed").when(kind == "error", "FAILED")
-        .when(kind == "signup", "reversed").otherwise("processing")
-    )
     return _bronze(
-        load(spark, sf_dir, "events"),
+        events(spark, sf_dir),
         "ipn_transactions",
-        txn_id=_text(user, "-", F.date_format("ts", "yyyyMMddHH")),
-        payment_ref=_text(" PR", F.col("event_id")),
-        sender_proxy=_null_if(user % 41 == 0, _text("U", user)),
-        receiver_proxy=_text("R", number),
-        sender_bank_id=_text(" bnk", user % 25),
-        receiver_bank_id=_null_if(number == 7, _text("Bnk", number % 25)),
-        amount_egp=F.col("value"),
-        payment_purpose=purpose,
-        txn_status=status,
-        failure_reason=F.when(kind == "error", " timeout "),
-        initiation_channel=_pick(F.col("event_id") % 4, "instapay_app", " Bank_App", "USSD", None),
-        processing_time_ms=_null_if(F.col("event_id") % 53 == 0, F.floor(F.col("value") * 10)),
-        initiated_at=F.col("ts"),
-        completed_at=_null_if(kind == "click", _plus_seconds(F.col("ts"), F.lit(2))),
+        txn_id="concat(user_id, '-', date_format(ts, 'yyyyMMddHH'))",
+        payment_ref="concat(' PR', event_id)",
+        sender_proxy="if(user_id % 41 = 0, NULL, concat('U', user_id))",
+        receiver_proxy="concat('R', number)",
+        sender_bank_id="concat(' bnk', user_id % 25)",
+        receiver_bank_id="if(number = 7, NULL, concat('Bnk', number % 25))",
+        amount_egp="value",
+        payment_purpose="""CASE event_type WHEN 'purchase' THEN 'merchant' WHEN 'view' THEN ' bill '
+                                WHEN 'click' THEN 'salary' WHEN 'error' THEN 'p2p' END""",
+        txn_status="""CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'view' THEN ' Completed'
+                           WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'reversed' ELSE 'processing' END""",
+        failure_reason="if(event_type = 'error', ' timeout ', NULL)",
+        initiation_channel="element_at(array('instapay_app', ' Bank_App', 'USSD', NULL), CAST(event_id % 4 + 1 AS INT))",
+        processing_time_ms="if(event_id % 53 = 0, NULL, floor(value * 10))",
+        initiated_at="ts",
+        completed_at="if(event_type = 'click', NULL, ts + INTERVAL 2 SECONDS)",
     )
 
 
 def wallet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per event; each event type has fields of its own."""
-    user, kind, number = F.col("user_id"), F.col("event_type"), _event_number()
-    event = F.col("event_id")
-    label = (
-        F.when(kind == "purchase", "merchant_payment").when(kind == "view", "qr_payment")
-        .when(kind == "click", "wallet_transfer").when(kind == "signup", "top_up").otherwise("withdrawal")
-    )
-    is_payment = kind.isin("purchase", "view")
-    fields = [
-        _text("W", event).alias("_id"),
-        _null_if(number % 10 == 0, _text("WLT", number)).alias("wallet_id"),
-        label.alias("event_type"),
-        _null_if(number % 13 == 0, F.when(number % 2 == 0, "mobile_app").otherwise("Ussd")).alias("channel"),
-        _text("BNK", user % 25).alias("issuing_bank_id"),
-        _null_if(number == 50, F.col("value").cast("decimal(18,2)")).alias("amount_egp"),
-        _pick(event % 5, "completed", "Completed", "Failed", "pending", "rejected").alias("status"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        F.when(kind == "signup", _text("TR", event)).alias("bank_ref"),
-        F.when(is_payment, _text("MER", user)).alias("merchant_id"),
-        F.when(is_payment, _text("QR", event)).alias("qr_ref"),
-        F.when(kind == "click", _text("WLT", user)).alias("receiver_wallet_id"),
-        F.when(kind == "error", _text("ATM", number)).alias("atm_id"),
-    ]
-    return load(spark, sf_dir, "events").select(to_document(fields).alias("document"))
+    """One JSON document per event; each event type has fields of its own. Absent fields are left out."""
+    fields = {
+        "_id": "concat('W', event_id)",
+        "wallet_id": "if(number % 10 = 0, NULL, concat('WLT', number))",
+        "event_type": """CASE event_type WHEN 'purchase' THEN 'merchant_payment' WHEN 'view' THEN 'qr_payment'
+                              WHEN 'click' THEN 'wallet_transfer' WHEN 'signup' THEN 'top_up' ELSE 'withdrawal' END""",
+        "channel": "if(number % 13 = 0, NULL, if(number % 2 = 0, 'mobile_app', 'Ussd'))",
+        "issuing_bank_id": "concat('BNK', user_id % 25)",
+        "amount_egp": "if(number = 50, NULL, CAST(value AS DECIMAL(18,2)))",
+        "status": """element_at(array('completed', 'Completed', 'Failed', 'pending', 'rejected'),
+                                CAST(event_id % 5 + 1 AS INT))""",
+        "event_ts": "CAST(ts AS TIMESTAMP)",
+        "bank_ref": "if(event_type = 'signup', concat('TR', event_id), NULL)",
+        "merchant_id": "if(event_type IN ('purchase', 'view'), concat('MER', user_id), NULL)",
+        "qr_ref": "if(event_type IN ('purchase', 'view'), concat('QR', event_id), NULL)",
+        "receiver_wallet_id": "if(event_type = 'click', concat('WLT', user_id), NULL)",
+        "atm_id": "if(event_type = 'error', concat('ATM', number), NULL)",
+    }
+    shaped = events(spark, sf_dir).selectExpr([f"{e} AS {name}" for name, e in fields.items()])
+    return shaped.select(F.to_json(F.struct("*"), WRITE_OPTIONS).alias("document"))
 
 
 def wallet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,44 +159,33 @@ def wallet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def atm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped, order, line = F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")
-    status = (
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), "failed")
-        .when(F.col("l_returnflag") == "R", "rejected")
-        .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F"), "Declined")
-        .when(F.col("l_partkey") % 19 == 0, F.lit(None).cast("string"))
-        .otherwise("approved")
-    )
     return _bronze(
         load(spark, sf_dir, "lineitem"),
         "atm_sessions",
-        atm_id=_null_if(F.col("l_suppkey") % 20 == 19, _text("ATM", F.col("l_suppkey"))),
-        session_date=shipped.cast("date"),
-        session_id=_text(order, "-", line),
-        session_ts=_plus_seconds(shipped, order % 86400),
-        card_token=_null_if(F.col("l_partkey") % 23 == 0, _text("tok_", F.col("l_partkey") % 1000)),
-        issuing_bank_id=_null_if(F.col("l_partkey") % 31 == 0, _text("BNK", F.col("l_partkey") % 25)),
-        txn_type=F.when(F.col("l_returnflag") == "R", "reversal").when(F.col("l_returnflag") == "A", "Withdrawal"),
-        amount_egp=F.col("l_extendedprice"),
-        currency_code=_null_if(F.col("l_partkey") % 7 == 0, F.lit("EGP")),
-        response_code=_null_if(
-            F.col("l_partkey") % 29 == 0, F.when(F.col("l_linestatus") == "F", "00").otherwise("51")
-        ),
-        status=status,
-        atm_location=_text("LOC", F.col("l_suppkey") % 7),
-        governorate=_text("GOV", F.col("l_suppkey") % 5),
-        network_id=F.when(line % 2 == 0, "123").otherwise("SHARED"),
-        processing_ms=_null_if(F.col("l_partkey") % 17 == 0, F.col("l_quantity") * 40),
-        error_code=F.when(F.col("l_linestatus") == "O", "E51"),
-        created_at=shipped,
-        updated_at=_plus_seconds(shipped, line * 3600),
+        atm_id="if(l_suppkey % 20 = 19, NULL, concat('ATM', l_suppkey))",
+        session_date="l_shipdate",
+        session_id="concat(l_orderkey, '-', l_linenumber)",
+        session_ts="l_shipdate + make_dt_interval(0, 0, 0, l_orderkey % 86400)",
+        card_token="if(l_partkey % 23 = 0, NULL, concat('tok_', l_partkey % 1000))",
+        issuing_bank_id="if(l_partkey % 31 = 0, NULL, concat('BNK', l_partkey % 25))",
+        txn_type="CASE l_returnflag WHEN 'R' THEN 'reversal' WHEN 'A' THEN 'Withdrawal' END",
+        amount_egp="l_extendedprice",
+        currency_code="if(l_partkey % 7 = 0, NULL, 'EGP')",
+        response_code="if(l_partkey % 29 = 0, NULL, if(l_linestatus = 'F', '00', '51'))",
+        status="""CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'failed'
+                       WHEN l_returnflag = 'R' THEN 'rejected'
+                       WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Declined'
+                       WHEN l_partkey % 19 = 0 THEN NULL ELSE 'approved' END""",
+        atm_location="concat('LOC', l_suppkey % 7)",
+        governorate="concat('GOV', l_suppkey % 5)",
+        network_id="if(l_linenumber % 2 = 0, '123', 'SHARED')",
+        processing_ms="if(l_partkey % 17 = 0, NULL, l_quantity * 40)",
+        error_code="if(l_linestatus = 'O', 'E51', NULL)",
+        created_at="l_shipdate",
+        updated_at="l_shipdate + make_dt_interval(0, l_linenumber)",
     )
 
 
-def _bronze(rows: DataFrame, table: str, **columns: Column) -> DataFrame:
-    return contracts.conform(rows.select([col.alias(name) for name, col in columns.items()]), contracts.BRONZE[table])
-
-
 BRONZE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ach": ach,
     "meeza": meeza,
@@ -231,7 +200,7 @@ SEQ_PER_DAY = 100_000_000
 DELETE_SEQ, REINSERT_SEQ = 10_000_000_000_000, 20_000_000_000_000
 
 
-def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_number: Column) -> DataFrame:
+def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_number: str) -> DataFrame:
     """A change stream over ``rows``: every row an event, then deletes, then some re-inserts.
 
     ``seq`` comes from the row's own event time, so no global order is computed. A key whose order number
@@ -240,7 +209,7 @@ def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_num
     days = F.unix_date(F.col(event_time).cast("date")).cast("bigint")
     cents = F.coalesce(F.col("amount_egp") * 100, F.lit(0)).cast("bigint")
     arrival = days * SEQ_PER_DAY + cents
-    numbered = rows.withColumn("_order", order_number)
+    numbered = rows.withColumn("_order", F.expr(order_number).cast("bigint"))
     events = numbered.withColumn("op", F.when(days % 3 == 0, "u").otherwise("c")).withColumn("seq", arrival)
     gone = numbered.filter(F.col("_order") % 17 == 0)
     deletes = gone.select(
@@ -256,13 +225,11 @@ def changelog(rows: DataFrame, keys: tuple[str, ...], event_time: str, order_num
 
 
 def ach_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.substring_index("txn_id", "-", 1).cast("bigint")
-    return changelog(ach(spark, sf_dir), ("txn_id",), "created_at", order)
+    return changelog(ach(spark, sf_dir), ("txn_id",), "created_at", "substring_index(txn_id, '-', 1)")
 
 
 def atm_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.substring_index("session_id", "-", 1).cast("bigint")
-    return changelog(atm(spark, sf_dir), ("atm_id", "session_date", "session_id"), "updated_at", order)
+    return changelog(atm(spark, sf_dir), ("atm_id", "session_date", "session_id"), "updated_at", "substring_index(session_id, '-', 1)")
 
 
 # ---- Lineage events -----------------------------------------------------------------------------------
@@ -270,31 +237,19 @@ def atm_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One lineage event (JSON) per event row, with 0 to 3 inputs and 0 to 2 outputs."""
-    kind, number, event = F.col("event_type"), _event_number(), F.col("event_id")
-    event_type = (
-        F.when(kind == "purchase", "COMPLETE").when(kind == "signup", "COMPLETE").when(kind == "view", "START")
-        .when(kind == "error", "FAIL").otherwise("OTHER")
-    )
-
-    def dataset(namespace: str, name: Column) -> Column:
-        return F.struct(F.lit(namespace).alias("namespace"), name.alias("name"))
-
-    def first(items: list[Column], count: Column) -> Column:
-        return F.slice(F.array(*items), F.lit(1), count.cast("int"))
-
-    inputs = [
-        dataset("kafka://broker", _text("public.t", number % 5)),
-        dataset("iceberg://cat", _text("bronze.t", number % 7)),
-        dataset("postgresql://db", _text("public.src.t", number % 3)),
-    ]
-    outputs = [dataset("iceberg://cat", _text("silver.t", number % 4)), dataset("ftp://drop", _text("out.t", number % 2))]
-    body = F.struct(
-        event_type.alias("eventType"),
-        F.struct(_null_if(number == 99, _text("run-", F.col("user_id"))).alias("runId")).alias("run"),
-        F.struct(F.lit("silver").alias("name")).alias("job"),
-        first(inputs, number % 4).alias("inputs"),
-        first(outputs, number % 3).alias("outputs"),
-    )
-    return load(spark, sf_dir, "events").select(
-        F.to_json(body).alias("value"), F.col("ts").alias("event_time"), event.alias("event_id")
+    event_type = """CASE event_type WHEN 'purchase' THEN 'COMPLETE' WHEN 'signup' THEN 'COMPLETE'
+                         WHEN 'view' THEN 'START' WHEN 'error' THEN 'FAIL' ELSE 'OTHER' END"""
+    run = "named_struct('runId', if(number = 99, NULL, concat('run-', user_id)))"
+    inputs = """slice(array(
+        named_struct('namespace', 'kafka://broker', 'name', concat('public.t', number % 5)),
+        named_struct('namespace', 'iceberg://cat', 'name', concat('bronze.t', number % 7)),
+        named_struct('namespace', 'postgresql://db', 'name', concat('public.src.t', number % 3))), 1, CAST(number % 4 AS INT))"""
+    outputs = """slice(array(
+        named_struct('namespace', 'iceberg://cat', 'name', concat('silver.t', number % 4)),
+        named_struct('namespace', 'ftp://drop', 'name', concat('out.t', number % 2))), 1, CAST(number % 3 AS INT))"""
+    return events(spark, sf_dir).selectExpr(
+        f"""to_json(named_struct('eventType', {event_type}, 'run', {run}, 'job', named_struct('name', 'silver'),
+                                 'inputs', {inputs}, 'outputs', {outputs})) AS value""",
+        "ts AS event_time",
+        "event_id",
     )
