@@ -536,6 +536,10 @@ def semantic_sql() -> dict[str, str]:
             ["payment_approval_rate"],
             scheme | {"report_date__week": "CAST(date_trunc('week', report_date) AS DATE)"},
         ),
+        "metric_volume_weighted_rate": MARTS
+        + """SELECT scheme, CAST(sum(CAST(approval_rate_pct AS DECIMAL(18,3)) * txn_volume) AS DOUBLE)
+                            / nullif(CAST(sum(txn_volume) AS DOUBLE), 0) AS volume_weighted_approval_rate_pct
+             FROM performance GROUP BY 1""",
         "metric_settlement_by_bank": metrics(
             ["net_settlement_value_egp"], {"originating_bank_id": "originating_bank_id"}
         ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: how far before the high-water mark a load looks back.
@@ -25,10 +25,11 @@ def since_high_water(
 ) -> DataFrame:
     """Rows later than the mark less the back window. An empty target counts as the epoch.
 
-    The bound is a literal, so it is pushed to the Parquet scan and prunes row groups.
+    The bound is a literal of the column's own type, so it is pushed to the Parquet scan and prunes row
+    groups.
     """
     bound = (mark or EPOCH) - back_window
-    return source.filter(F.col(event_time).cast("timestamp_ntz") > F.lit(bound).cast("timestamp_ntz"))
+    return source.filter(F.col(event_time) > _literal(bound, source, event_time))
 
 
 def strictly_since(source: DataFrame, column: str, mark: object | None, full_refresh: bool = False) -> DataFrame:
@@ -40,4 +41,9 @@ def strictly_since(source: DataFrame, column: str, mark: object | None, full_ref
         return source
     if mark is None:
         return source.filter(F.lit(False))
-    return source.filter(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
+    return source.filter(F.col(column) > _literal(mark, source, column))
+
+
+def _literal(value: object, source: DataFrame, column: str) -> Column:
+    """A literal of the column's type; times are UTC, which the session zone must be too."""
+    return F.lit(str(value)).cast(source.schema[column].dataType)

@@ -39,33 +39,46 @@ def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str]
     """Partitions a merge changes: where source rows go, and where the rows they replace are now.
 
     A row can move between partitions. ``remaining`` is what stays of a partition's old rows, and a
-    partition is ``emptied`` when nothing stays and nothing arrives. Only the key and partition columns
-    are read. The target is aggregated per partition before anything is compared.
+    partition is ``emptied`` when nothing stays and nothing arrives.
+
+    Replaced rows are found by a semi join on key and partition columns only; a small source is broadcast
+    or filters the target's scan. Totals are counted only in partitions that lose rows, without reading
+    any data column. What is broadcast there is one row per partition.
     """
     arriving = source.groupBy(partition).agg(F.count("*").alias("arriving"))
-    marked = target.select(partition, *keys).alias("t").join(
-        source.select(*keys, F.lit(1).alias("_hit")).alias("s"), same_key(keys, "t", "s"), "left"
-    )
-    existing = marked.groupBy(F.col(f"t.{partition}").alias(partition)).agg(
-        F.count("_hit").alias("replaced"), (F.count("*") - F.count("_hit")).alias("remaining")
+    replaced = (
+        target.select(partition, *keys)
+        .alias("t")
+        .join(source.select(*keys).alias("s"), same_key(keys, "t", "s"), "left_semi")
+        .groupBy(partition)
+        .agg(F.count("*").alias("replaced"))
     )
-    both = existing.select(partition, "replaced", "remaining", F.lit(0).cast("bigint").alias("arriving")).unionByName(
-        arriving.select(
-            partition, F.lit(0).cast("bigint").alias("replaced"), F.lit(0).cast("bigint").alias("remaining"), "arriving"
-        )
+    affected = F.broadcast(replaced.unionByName(arriving.select(partition, F.lit(0).cast("bigint").alias("replaced"))))
+    totals = (
+        target.select(partition)
+        .alias("t")
+        .join(affected.alias("a"), same_key([partition], "t", "a"), "left_semi")
+        .groupBy(partition)
+        .agg(F.count("*").alias("total"))
     )
-    return (
-        both.groupBy(partition)
-        .agg(
-            F.sum("replaced").alias("replaced"),
-            F.sum("remaining").alias("remaining"),
-            F.sum("arriving").alias("arriving"),
-        )
-        .filter((F.col("replaced") > 0) | (F.col("arriving") > 0))
-        .withColumn("emptied", (F.col("remaining") == 0) & (F.col("arriving") == 0))
+    counts = [
+        df.select(partition, *[F.col(c) if c == has else F.lit(0).cast("bigint").alias(c) for c in _COUNTS])
+        for df, has in ((replaced, "replaced"), (totals, "total"), (arriving, "arriving"))
+    ]
+    merged = reduce(DataFrame.unionByName, counts).groupBy(partition).agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    remaining = F.col("total") - F.col("replaced")
+    return merged.select(
+        partition,
+        "replaced",
+        remaining.alias("remaining"),
+        "arriving",
+        ((remaining == 0) & (F.col("arriving") == 0)).alias("emptied"),
     )
 
 
+_COUNTS = ("replaced", "total", "arriving")
+
+
 def in_partitions(column: str, values: Sequence[object]) -> Column:
     """Partition filter that also finds the NULL partition; prunes the file listing."""
     known = [v for v in values if v is not None]

@@ -202,7 +202,7 @@ def _metric_column(metric: str) -> Column:
 
 def volume_weighted_approval_rate(scheme_performance: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """Approval rate weighted by volume (the metric ``avg_scheme_approval_rate_pct`` is a plain mean)."""
-    weighted = F.sum(F.col("approval_rate_pct").cast("double") * F.col("txn_volume"))
+    weighted = F.sum(F.col("approval_rate_pct") * F.col("txn_volume"))
     return scheme_performance.groupBy(*group_by).agg(
         safe_ratio(weighted, F.sum("txn_volume")).alias("volume_weighted_approval_rate_pct")
     )
