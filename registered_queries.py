@@ -464,7 +464,7 @@ def other_queries() -> dict[str, Query]:
         """Wallet silver written in many small files per day, then compacted."""
         path = f"{shared_dir(spark).rstrip('/')}/railyard-compact/{uuid.uuid4().hex}"
         rows = silver.with_event_day(WALLET, silver_of(spark, sf_dir, "wallet"))
-        rows.repartition(4, "document_id").write.partitionBy(silver.EVENT_DAY).parquet(path)
+        rows.repartition(4).write.partitionBy(silver.EVENT_DAY).parquet(path)
         done = tables.compact(spark, path, silver.EVENT_DAY)
         return done.select("partition_value", "files", "row_count")
 
