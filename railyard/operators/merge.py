@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,12 +109,14 @@ def merge_into_parquet(
     partition: str,
     partition_fixed_by_key: bool = False,
     schema: T.StructType | None = None,
+    before_change: Callable[[list[object]], None] | None = None,
 ) -> None:
     """Upsert ``source`` into the Parquet table at ``path``, rewriting only touched partitions.
 
     ``partition_fixed_by_key``: the partition follows from the key (it is part of it), so rows never move
     and the target's key columns need no scan. ``schema``: the table's columns, so that files written
     before a column was added read as NULL; without it the columns of all files are merged.
+    ``before_change`` is told all partition values about to change, before anything is written.
 
     A merge that breaks off is repaired by running it again with the same source. Emptied partitions go
     first: all their rows are in the source, so a rerun brings them back, while the other order could
@@ -123,16 +125,20 @@ def merge_into_parquet(
     with staged(source, "merge") as batch:
         assert_unique(batch, keys, path)
         if not table_exists(spark, path):
+            if before_change:
+                before_change(_values(batch, partition))
             write_partitions(batch, path, partition)
             return
         target = _read_target(spark, path, schema)
         if partition_fixed_by_key:
-            touched = [r[0] for r in batch.select(partition).distinct().collect()]
+            touched = _values(batch, partition)
             emptied: list[object] = []
         else:
             changes = touched_partitions(target, batch, keys, partition).select(partition, "emptied").collect()
             touched = [r[0] for r in changes if not r["emptied"]]
             emptied = [r[0] for r in changes if r["emptied"]]
+        if before_change:
+            before_change([*touched, *emptied])
         for value in emptied:
             drop_path(spark, partition_path(path, partition, value))
         if touched:
@@ -140,6 +146,11 @@ def merge_into_parquet(
             write_partitions(merge_upsert(current, batch, keys), path, partition)
 
 
+def _values(df: DataFrame, partition: str) -> list[object]:
+    """Distinct partition values: days or months, so few."""
+    return [r[0] for r in df.select(partition).distinct().collect()]
+
+
 def _read_target(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
     if schema is not None:
         return spark.read.schema(schema).parquet(path)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from railyard import contracts
 from railyard.checks import CHECKS
 from railyard.functions.clock import month_of
 from railyard.operators import audit, freshness, quality
-from railyard.plans import gold, serving, silver
-from railyard.rails import ACH, RAILS
+from railyard.plans import gold, rollup, serving, silver
+from railyard.rails import ACH, RAILS, Rail
 from railyard.session import staged
 from railyard.sources.tables import PARTITION, append_rows, compact, full_refresh, read_table, table_path
 
@@ -42,7 +43,8 @@ def run_chain(
     """
     check_gate(bronze, as_of)
     for name, rows in bronze.items():
-        silver.load_silver(RAILS[name], rows, root)
+        note = partial(rollup.note_changes, spark, root, RAILS[name])
+        silver.load_silver(RAILS[name], rows, root, before_change=note)
     silvers = {name: silver.read_silver(spark, RAILS[name], root) for name in bronze}
     check_layer({RAILS[n].silver_table: df for n, df in silvers.items()}, block_on_tests)
     if maintain:
@@ -51,7 +53,7 @@ def run_chain(
         silvers = {name: silver.read_silver(spark, RAILS[name], root) for name in bronze}
     record_metrics(bronze, silvers, root, as_of, run_id)
 
-    build_gold(silvers, root)
+    build_gold(spark, root, [RAILS[name] for name in bronze])
     marts = {t.mart: read_table(spark, root, "gold", t.mart) for t in serving.TABLES}
     check_layer(marts, block_on_tests)
     for table in serving.TABLES:
@@ -91,14 +93,15 @@ def record_metrics(
     append_rows(rows, table_path(root, "serving", "pipeline_metrics"), ["batch_month"])
 
 
-def build_gold(silvers: Mapping[str, DataFrame], root: str) -> None:
-    """Full refresh of the three marts. Silver is read once for the two scheme marts: both come from one
-    small staged rollup."""
-    with staged(gold.channel_rollup(gold.all_rails(silvers)), "rollup") as rollup:
-        _write_mart(gold.daily_volume_from_rollup(rollup), root, serving.DAILY_VOLUME)
-        _write_mart(gold.scheme_performance_from_rollup(rollup), root, serving.SCHEME_PERFORMANCE)
-    if ACH.name in silvers:
-        _write_mart(gold.settlement_summary(silvers[ACH.name]), root, serving.SETTLEMENT)
+def build_gold(spark: SparkSession, root: str, rails: list[Rail]) -> None:
+    """Full refresh of the three marts, reading only the silver days that changed since the last one."""
+    rollup.refresh_rollups(spark, root, rails)
+    with staged(rollup.channel_rollups(spark, root, rails), "rollup") as channels:
+        _write_mart(gold.daily_volume_from_rollup(channels), root, serving.DAILY_VOLUME)
+        _write_mart(gold.scheme_performance_from_rollup(channels), root, serving.SCHEME_PERFORMANCE)
+    if ACH in rails:
+        settlements = gold.settlement_from_rollup(rollup.settlement_rollups(spark, root))
+        _write_mart(settlements, root, serving.SETTLEMENT)
 
 
 def _write_mart(mart: DataFrame, root: str, table: serving.ServingTable) -> None:

@@ -19,7 +19,7 @@ MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(38,2)"
 
 
-def unified(rail: Rail, silver: DataFrame) -> DataFrame:
+def unified(rail: Rail, silver: DataFrame, *keep: str) -> DataFrame:
     """One rail's silver rows in the shape the marts share. Rows without a report date are left out.
 
     Amounts are DECIMAL here, the double ones included, so sums are exact and do not depend on the order
@@ -34,6 +34,7 @@ def unified(rail: Rail, silver: DataFrame) -> DataFrame:
         rail.approved().alias("approved"),
         rail.failed().alias("failed"),
         latency.alias("latency_ms"),
+        *keep,
     )
 
 
@@ -41,9 +42,9 @@ def all_rails(silvers: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [unified(RAILS[name], df) for name, df in silvers.items()])
 
 
-def channel_rollup(rows: DataFrame) -> DataFrame:
+def channel_rollup(rows: DataFrame, *also_by: str) -> DataFrame:
     """Sums and counts per date, scheme and channel: enough to derive both scheme marts in one scan."""
-    return rows.groupBy("report_date", "scheme", "channel").agg(
+    return rows.groupBy("report_date", "scheme", "channel", *also_by).agg(
         F.count("*").alias("txn_count"),
         F.sum("amount_egp").cast(MONEY_SUM).alias("amount_egp"),
         count_true(F.col("approved")).alias("approved_count"),
@@ -88,6 +89,15 @@ def daily_volume_from_rollup(rollup: DataFrame) -> DataFrame:
     )
 
 
+def merged_rollup(rollup: DataFrame) -> DataFrame:
+    """Rollup rows of one group added up."""
+    sums = [
+        F.sum(c).cast(rollup.schema[c].dataType).alias(c)
+        for c in ("txn_count", "amount_egp", "approved_count", "failed_count", "latency_ms")
+    ]
+    return rollup.groupBy("report_date", "scheme", "channel").agg(*sums)
+
+
 def scheme_performance_from_rollup(rollup: DataFrame, rate_scale: int | None = None) -> DataFrame:
     """Per date, scheme and channel: volume, approval rate, mean latency. Clearing transfers have no
     channel and are not part of this mart."""
@@ -108,18 +118,37 @@ def scheme_performance(silvers: Mapping[str, DataFrame], rate_scale: int | None
     return scheme_performance_from_rollup(channel_rollup(all_rails(with_channel)), rate_scale)
 
 
-def settlement_summary(ach_silver: DataFrame, rate_scale: int | None = None) -> DataFrame:
-    """Per settlement date and bank pair: settled, failed and returned counts, values, settlement rate."""
+def settlement_rollup(ach_silver: DataFrame, *also_by: str) -> DataFrame:
+    """Counts and sums per settlement date and bank pair."""
     status, amount = F.col("txn_status"), F.col("amount_egp")
     return (
         ach_silver.filter(F.col("settlement_date").isNotNull())
-        .groupBy("settlement_date", "originating_bank_id", "receiving_bank_id")
+        .groupBy("settlement_date", "originating_bank_id", "receiving_bank_id", *also_by)
         .agg(
+            F.count("*").alias("txn_count"),
             count_true(status == "SETTLED").alias("settled_count"),
             count_true(status == "FAILED").alias("failed_count"),
             count_true(status == "RETURNED").alias("returned_count"),
             sum_where(amount, status == "SETTLED").cast(MONEY_SUM).alias("net_settled_egp"),
             sum_where(amount, status == "FAILED").cast(MONEY_SUM).alias("failed_amount_egp"),
-            percent(count_true(status == "SETTLED"), F.count("*"), 2, rate_scale).alias("settlement_rate_pct"),
         )
     )
+
+
+def merged_settlement_rollup(rollup: DataFrame) -> DataFrame:
+    """Rollup rows of one bank pair and date added up; a sum without any value stays NULL."""
+    sums = [
+        F.sum(c).cast(rollup.schema[c].dataType).alias(c)
+        for c in ("txn_count", "settled_count", "failed_count", "returned_count", "net_settled_egp", "failed_amount_egp")
+    ]
+    return rollup.groupBy("settlement_date", "originating_bank_id", "receiving_bank_id").agg(*sums)
+
+
+def settlement_from_rollup(rollup: DataFrame, rate_scale: int | None = None) -> DataFrame:
+    rate = percent(F.col("settled_count"), F.col("txn_count"), 2, rate_scale)
+    return rollup.select(*[c for c in rollup.columns if c != "txn_count"], rate.alias("settlement_rate_pct"))
+
+
+def settlement_summary(ach_silver: DataFrame, rate_scale: int | None = None) -> DataFrame:
+    """Per settlement date and bank pair: settled, failed and returned counts, values, settlement rate."""
+    return settlement_from_rollup(settlement_rollup(ach_silver), rate_scale)

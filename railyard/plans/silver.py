@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +65,17 @@ def read_silver(spark: SparkSession, rail: Rail, root: str) -> DataFrame:
     return spark.read.schema(table_schema(spark, rail)).parquet(table_path(root, "silver", rail.silver_table))
 
 
-def load_silver(rail: Rail, bronze: DataFrame, root: str, full_refresh: bool = False) -> None:
-    """Create or incrementally update the rail's silver table under ``root``."""
+def load_silver(
+    rail: Rail,
+    bronze: DataFrame,
+    root: str,
+    full_refresh: bool = False,
+    before_change: Callable[[list[object] | None], None] | None = None,
+) -> None:
+    """Create or incrementally update the rail's silver table under ``root``.
+
+    ``before_change`` is told the days about to change, or None for all of them.
+    """
     spark = bronze.sparkSession
     path = table_path(root, "silver", rail.silver_table)
     if full_refresh or not table_exists(spark, path):
@@ -73,6 +84,9 @@ def load_silver(rail: Rail, bronze: DataFrame, root: str, full_refresh: bool = F
         rows = silver_increment(rail, bronze, read_silver(spark, rail, root))
     rows = with_event_day(rail, contracts.stamped(rows, "silver"))
     if full_refresh:
+        if before_change:
+            before_change(None)
         replace_table(rows, path, EVENT_DAY)
     else:
-        merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=table_schema(spark, rail))
+        schema = table_schema(spark, rail)
+        merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=schema, before_change=before_change)
