@@ -18,7 +18,7 @@ from railyard.functions.clock import month_of
 from railyard.operators import audit, freshness, quality
 from railyard.plans import gold, rollup, serving, silver
 from railyard.rails import ACH, RAILS, Rail
-from railyard.session import staged
+from railyard.session import in_parallel, staged
 from railyard.sources.tables import PARTITION, append_rows, compact, full_refresh, read_table, table_path
 
 REPORT_MONTH = PARTITION["gold"]
@@ -42,24 +42,20 @@ def run_chain(
     A failed gate stops the chain before anything is written; a failed test after the layer it concerns.
     """
     check_gate(bronze, as_of)
-    for name, rows in bronze.items():
-        note = partial(rollup.note_changes, spark, root, RAILS[name])
-        silver.load_silver(RAILS[name], rows, root, before_change=note)
+    in_parallel(lambda name: load_rail(spark, RAILS[name], bronze[name], root), bronze)
     silvers = {name: silver.read_silver(spark, RAILS[name], root) for name in bronze}
     check_layer({RAILS[n].silver_table: df for n, df in silvers.items()}, block_on_tests)
     if maintain:
-        for name in bronze:
-            compact(spark, table_path(root, "silver", RAILS[name].silver_table), silver.EVENT_DAY)
+        in_parallel(
+            lambda name: compact(spark, table_path(root, "silver", RAILS[name].silver_table), silver.EVENT_DAY), bronze
+        )
         silvers = {name: silver.read_silver(spark, RAILS[name], root) for name in bronze}
     record_metrics(bronze, silvers, root, as_of, run_id)
 
     build_gold(spark, root, [RAILS[name] for name in bronze])
     marts = {t.mart: read_table(spark, root, "gold", t.mart) for t in serving.TABLES}
     check_layer(marts, block_on_tests)
-    for table in serving.TABLES:
-        serving.load_serving(table, marts[table.mart].drop(REPORT_MONTH), root, as_of)
-        if maintain:
-            compact(spark, table_path(root, "serving", table.name), REPORT_MONTH)
+    in_parallel(lambda t: publish(spark, t, marts[t.mart], root, as_of, maintain), serving.TABLES)
     served = {t.name: read_table(spark, root, "serving", t.name) for t in serving.TABLES}
     check_layer(served, block_on_tests)
     tables = {RAILS[n].bronze_table: df for n, df in bronze.items()}
@@ -67,6 +63,19 @@ def run_chain(
     return audit.row_counts(tables | marts | served)
 
 
+def load_rail(spark: SparkSession, rail: Rail, bronze: DataFrame, root: str) -> None:
+    """Load silver, noting the days that change for the rollups."""
+    silver.load_silver(rail, bronze, root, before_change=partial(rollup.note_changes, spark, root, rail))
+
+
+def publish(
+    spark: SparkSession, table: serving.ServingTable, mart: DataFrame, root: str, as_of: dt.datetime, maintain: bool
+) -> None:
+    serving.load_serving(table, mart.drop(REPORT_MONTH), root, as_of)
+    if maintain:
+        compact(spark, table_path(root, "serving", table.name), REPORT_MONTH)
+
+
 def check_gate(bronze: Mapping[str, DataFrame], as_of: dt.datetime) -> None:
     tables = {RAILS[n].bronze_table: (df, RAILS[n].event_time) for n, df in bronze.items()}
     failed = freshness.gate(tables, as_of).filter(F.col("outcome") == "fail").collect()  # one row per table
@@ -95,7 +104,7 @@ def record_metrics(
 
 def build_gold(spark: SparkSession, root: str, rails: list[Rail]) -> None:
     """Full refresh of the three marts, reading only the silver days that changed since the last one."""
-    rollup.refresh_rollups(spark, root, rails)
+    in_parallel(lambda rail: rollup.refresh_rollups(spark, root, rail), rails)
     with staged(rollup.channel_rollups(spark, root, rails), "rollup") as channels:
         _write_mart(gold.daily_volume_from_rollup(channels), root, serving.DAILY_VOLUME)
         _write_mart(gold.scheme_performance_from_rollup(channels), root, serving.SCHEME_PERFORMANCE)

@@ -25,34 +25,27 @@ from railyard.session import drop_path
 from railyard.sources.tables import append_rows, table_exists, table_path
 
 NOTES = "changed_days"
-NOTE_SCHEMA = T.StructType(
-    [
-        T.StructField("rail", T.StringType()),
-        T.StructField(EVENT_DAY, T.DateType()),
-        T.StructField("everything", T.BooleanType()),
-    ]
-)
+NOTE_SCHEMA = T.StructType([T.StructField(EVENT_DAY, T.DateType()), T.StructField("everything", T.BooleanType())])
+
+
+def _notes_path(root: str, rail: Rail) -> str:
+    return f"{table_path(root, 'silver', NOTES)}/{rail.name}"
 
 
 def note_changes(spark: SparkSession, root: str, rail: Rail, days: list[dt.date | None] | None) -> None:
     """Remember days whose rollups are out of date; None means all of them."""
-    rows = [(rail.name, None, True)] if days is None else [(rail.name, day, False) for day in days]
+    rows = [(None, True)] if days is None else [(day, False) for day in days]
     if rows:
-        notes = spark.createDataFrame(rows, NOTE_SCHEMA).coalesce(1)
-        append_rows(notes, table_path(root, "silver", NOTES))
+        append_rows(spark.createDataFrame(rows, NOTE_SCHEMA).coalesce(1), _notes_path(root, rail))
 
 
-def _noted(spark: SparkSession, root: str) -> dict[str, set[dt.date | None] | None]:
-    path = table_path(root, "silver", NOTES)
-    found: dict[str, set[dt.date | None] | None] = {}
+def _noted(spark: SparkSession, root: str, rail: Rail) -> set[dt.date | None] | None:
+    """Days noted for the rail; None for all of them, an empty set for none."""
+    path = _notes_path(root, rail)
     if not table_exists(spark, path):
-        return found
-    for rail, day, everything in spark.read.schema(NOTE_SCHEMA).parquet(path).distinct().collect():  # days
-        if everything or found.get(rail, set()) is None:
-            found[rail] = None
-        else:
-            found.setdefault(rail, set()).add(day)
-    return found
+        return set()
+    notes = spark.read.schema(NOTE_SCHEMA).parquet(path).distinct().collect()  # one row per day
+    return None if any(n.everything for n in notes) else {n[EVENT_DAY] for n in notes}
 
 
 def _path(root: str, rail: Rail, kind: str) -> str:
@@ -76,15 +69,13 @@ def _refresh(spark: SparkSession, root: str, rail: Rail, kind: str, days: set[dt
     write_partitions(rollup, path, EVENT_DAY)
 
 
-def refresh_rollups(spark: SparkSession, root: str, rails: list[Rail]) -> None:
-    """Bring every rollup up to date with silver."""
-    noted = _noted(spark, root)
-    for rail in rails:
-        kinds = ["channel", "settlement"] if rail.name == ACH.name else ["channel"]
-        for kind in kinds:
-            if rail.name in noted or not table_exists(spark, _path(root, rail, kind)):
-                _refresh(spark, root, rail, kind, noted.get(rail.name))
-    drop_path(spark, table_path(root, "silver", NOTES))
+def refresh_rollups(spark: SparkSession, root: str, rail: Rail) -> None:
+    """Bring the rail's rollups up to date with silver."""
+    days = _noted(spark, root, rail)
+    for kind in ("channel", "settlement") if rail.name == ACH.name else ("channel",):
+        if days is None or days or not table_exists(spark, _path(root, rail, kind)):
+            _refresh(spark, root, rail, kind, days)
+    drop_path(spark, _notes_path(root, rail))
 
 
 def channel_rollups(spark: SparkSession, root: str, rails: list[Rail]) -> DataFrame:

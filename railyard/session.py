@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -89,6 +95,12 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def in_parallel(step: Callable[[T], R], items: Iterable[T], workers: int = 4) -> list[R]:
+    """Run a step for several items at once, so that small jobs share the cluster. The first error is raised."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(inheritable_thread_target(step), items))
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
