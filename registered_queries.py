@@ -19,7 +19,7 @@ from railyard.functions.cleanse import hash_pii
 from railyard.operators import audit, changelog, dedup, freshness, incremental, lineage, merge, profile, quality
 from railyard.plans import gold, reports, semantic, serving, silver
 from railyard.rails import ACH, ATM, IPN, RAILS, WALLET
-from railyard.session import pin_utc, shared_dir
+from railyard.session import in_parallel, pin_utc, shared_dir
 from railyard.sources import documents, surrogates, tables, topic
 from railyard.streaming import bronze as bronze_stream
 
@@ -88,19 +88,21 @@ class Lake:
         self.root = _LAKES[key]
 
     def _build(self, root: str) -> str:
-        for rail in RAILS.values():
-            rows = silver_of(self.spark, self.sf_dir, rail.name)
-            tables.full_refresh(rows, tables.table_path(root, "silver", rail.silver_table))
-        written = {r.name: tables.read_table(self.spark, root, "silver", r.silver_table) for r in RAILS.values()}
-        rollup_path = tables.table_path(root, "gold", "channel_rollup")
-        tables.full_refresh(gold.channel_rollup(gold.all_rails(written)), rollup_path)
-        rollup = self.spark.read.parquet(rollup_path)
-        for name, mart in (
-            ("mart_daily_txn_volume", gold.daily_volume_from_rollup(rollup)),
-            ("mart_scheme_performance", gold.scheme_performance_from_rollup(rollup)),
-            ("mart_settlement_summary", gold.settlement_summary(written["ach"])),
-        ):
-            tables.full_refresh(mart, tables.table_path(root, "gold", name))
+        def write(layer: str, name: str, rows: DataFrame) -> DataFrame:
+            tables.full_refresh(rows, tables.table_path(root, layer, name))
+            return tables.read_table(self.spark, root, layer, name)
+
+        def load(rail: str) -> DataFrame:
+            return write("silver", RAILS[rail].silver_table, silver_of(self.spark, self.sf_dir, rail))
+
+        written = dict(zip(RAILS, in_parallel(load, RAILS)))
+        rollup = write("gold", "channel_rollup", gold.channel_rollup(gold.all_rails(written)))
+        marts = {
+            "mart_daily_txn_volume": gold.daily_volume_from_rollup(rollup),
+            "mart_scheme_performance": gold.scheme_performance_from_rollup(rollup),
+            "mart_settlement_summary": gold.settlement_summary(written["ach"]),
+        }
+        in_parallel(lambda name: write("gold", name, marts[name]), marts)
         return root
 
     def bronze(self, rail: str) -> DataFrame:
