@@ -105,6 +105,7 @@ def record_metrics(
 def build_gold(spark: SparkSession, root: str, rails: list[Rail]) -> None:
     """Full refresh of the three marts, reading only the silver days that changed since the last one."""
     in_parallel(lambda rail: rollup.refresh_rollups(spark, root, rail), rails)
+    rollup.tidy_notes(spark, root)
     with staged(rollup.channel_rollups(spark, root, rails), "rollup") as channels:
         _write_mart(gold.daily_volume_from_rollup(channels), root, serving.DAILY_VOLUME)
         _write_mart(gold.scheme_performance_from_rollup(channels), root, serving.SCHEME_PERFORMANCE)

@@ -21,7 +21,7 @@ from railyard.operators.merge import in_partitions, partition_path, write_partit
 from railyard.plans import gold
 from railyard.plans.silver import EVENT_DAY, read_silver
 from railyard.rails import ACH, Rail
-from railyard.session import drop_path
+from railyard.session import drop_path, list_folders
 from railyard.sources.tables import append_rows, table_exists, table_path
 
 NOTES = "changed_days"
@@ -78,6 +78,13 @@ def refresh_rollups(spark: SparkSession, root: str, rail: Rail) -> None:
     drop_path(spark, _notes_path(root, rail))
 
 
+def tidy_notes(spark: SparkSession, root: str) -> None:
+    """Remove the notes folder once no rail has notes in it."""
+    path = table_path(root, "silver", NOTES)
+    if not list_folders(spark, path):
+        drop_path(spark, path)
+
+
 def channel_rollups(spark: SparkSession, root: str, rails: list[Rail]) -> DataFrame:
     """All rails' rollups per date, scheme and channel."""
     parts = [spark.read.parquet(_path(root, rail, "channel")).drop(EVENT_DAY) for rail in rails]

@@ -97,12 +97,15 @@ def drop_path(spark: SparkSession, path: str) -> bool:
 
 def in_parallel(step: Callable[[T], R], items: Iterable[T], workers: int = 4) -> list[R]:
     """Run a step for several items at once, so that small jobs share the cluster. The first error is raised."""
+    in_session = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(inheritable_thread_target(step), items))
+        return list(pool.map(in_session(step), items))
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below ``path``."""
+    """Names of the folders directly below ``path``; none when it does not exist."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
