@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from railyard.operators.dedup import assert_unique
 from railyard.session import drop_path, staged
-from railyard.sources.tables import table_exists
+from railyard.sources.tables import full_refresh, is_committed
 
 
 def same_key(keys: Sequence[str], left: str, right: str, strict_sql_nulls: bool = False) -> Column:
@@ -109,26 +109,32 @@ def merge_into_parquet(
     partition: str,
     partition_fixed_by_key: bool = False,
     schema: T.StructType | None = None,
-    before_change: Callable[[list[object]], None] | None = None,
+    before_change: Callable[[list[object] | None], None] | None = None,
 ) -> None:
     """Upsert ``source`` into the Parquet table at ``path``, rewriting only touched partitions.
 
     ``partition_fixed_by_key``: the partition follows from the key (it is part of it), so rows never move
     and the target's key columns need no scan. ``schema``: the table's columns, so that files written
     before a column was added read as NULL; without it the columns of all files are merged.
-    ``before_change`` is told all partition values about to change, before anything is written.
+    ``before_change`` is told all partition values about to change (None: the whole table is new), before
+    anything is written. The first load is written once, replacing what a broken-off one may have left.
 
     A merge that breaks off is repaired by running it again with the same source. Emptied partitions go
     first: all their rows are in the source, so a rerun brings them back, while the other order could
     leave a stale copy that a later incremental load would not find.
     """
+    if not is_committed(spark, path):
+        if before_change:
+            before_change(None)
+        full_refresh(source, path, partition)
+        try:
+            assert_unique(spark.read.schema(source.schema).parquet(path), keys, path)
+        except ValueError:
+            drop_path(spark, path)
+            raise
+        return
     with staged(source, "merge") as batch:
         assert_unique(batch, keys, path)
-        if not table_exists(spark, path):
-            if before_change:
-                before_change(_values(batch, partition))
-            write_partitions(batch, path, partition)
-            return
         target = _read_target(spark, path, schema)
         if partition_fixed_by_key:
             touched = _values(batch, partition)

@@ -19,7 +19,7 @@ from railyard.operators import audit, freshness, quality
 from railyard.plans import gold, rollup, serving, silver
 from railyard.rails import ACH, RAILS, Rail
 from railyard.session import in_parallel, staged
-from railyard.sources.tables import PARTITION, append_rows, compact, full_refresh, read_table, table_path
+from railyard.sources.tables import PARTITION, append_rows, compact, full_refresh, table_exists, table_path
 
 REPORT_MONTH = PARTITION["gold"]
 
@@ -52,11 +52,11 @@ def run_chain(
         silvers = {name: silver.read_silver(spark, RAILS[name], root) for name in bronze}
     record_metrics(bronze, silvers, root, as_of, run_id)
 
-    build_gold(spark, root, [RAILS[name] for name in bronze])
-    marts = {t.mart: read_table(spark, root, "gold", t.mart) for t in serving.TABLES}
+    marts = build_gold(spark, root, [RAILS[name] for name in bronze])
     check_layer(marts, block_on_tests)
-    in_parallel(lambda t: publish(spark, t, marts[t.mart], root, as_of, maintain), serving.TABLES)
-    served = {t.name: read_table(spark, root, "serving", t.name) for t in serving.TABLES}
+    published = [t for t in serving.TABLES if t.mart in marts]
+    copies = in_parallel(lambda t: publish(spark, t, marts[t.mart], root, as_of, maintain), published)
+    served = {t.name: copy for t, copy in zip(published, copies)}
     check_layer(served, block_on_tests)
     tables = {RAILS[n].bronze_table: df for n, df in bronze.items()}
     tables |= {RAILS[n].silver_table: df for n, df in silvers.items()}
@@ -70,10 +70,13 @@ def load_rail(spark: SparkSession, rail: Rail, bronze: DataFrame, root: str) ->
 
 def publish(
     spark: SparkSession, table: serving.ServingTable, mart: DataFrame, root: str, as_of: dt.datetime, maintain: bool
-) -> None:
-    serving.load_serving(table, mart.drop(REPORT_MONTH), root, as_of)
-    if maintain:
-        compact(spark, table_path(root, "serving", table.name), REPORT_MONTH)
+) -> DataFrame:
+    """Refresh one serving table and read it."""
+    served = serving.load_serving(table, mart.drop(REPORT_MONTH), root, as_of)
+    path = table_path(root, "serving", table.name)
+    if maintain and table_exists(spark, path):
+        compact(spark, path, REPORT_MONTH)
+    return spark.read.schema(served.schema).parquet(path)
 
 
 def check_gate(bronze: Mapping[str, DataFrame], as_of: dt.datetime) -> None:
@@ -102,18 +105,23 @@ def record_metrics(
     append_rows(rows, table_path(root, "serving", "pipeline_metrics"), ["batch_month"])
 
 
-def build_gold(spark: SparkSession, root: str, rails: list[Rail]) -> None:
-    """Full refresh of the three marts, reading only the silver days that changed since the last one."""
+def build_gold(spark: SparkSession, root: str, rails: list[Rail]) -> dict[str, DataFrame]:
+    """Full refresh of the marts, reading only the silver days that changed since the last one."""
     in_parallel(lambda rail: rollup.refresh_rollups(spark, root, rail), rails)
     rollup.tidy_notes(spark, root)
     with staged(rollup.channel_rollups(spark, root, rails), "rollup") as channels:
-        _write_mart(gold.daily_volume_from_rollup(channels), root, serving.DAILY_VOLUME)
-        _write_mart(gold.scheme_performance_from_rollup(channels), root, serving.SCHEME_PERFORMANCE)
-    if ACH in rails:
-        settlements = gold.settlement_from_rollup(rollup.settlement_rollups(spark, root))
-        _write_mart(settlements, root, serving.SETTLEMENT)
+        built = [
+            (serving.DAILY_VOLUME, gold.daily_volume_from_rollup(channels)),
+            (serving.SCHEME_PERFORMANCE, gold.scheme_performance_from_rollup(channels)),
+        ]
+        if ACH in rails:
+            built.append((serving.SETTLEMENT, gold.settlement_from_rollup(rollup.settlement_rollups(spark, root))))
+        written = in_parallel(lambda pair: _write_mart(pair[1], root, pair[0]), built)
+    return {table.mart: mart for (table, _), mart in zip(built, written)}
 
 
-def _write_mart(mart: DataFrame, root: str, table: serving.ServingTable) -> None:
+def _write_mart(mart: DataFrame, root: str, table: serving.ServingTable) -> DataFrame:
     rows = contracts.stamped(mart, "gold").withColumn(REPORT_MONTH, month_of(F.col(table.date)))
-    full_refresh(rows, table_path(root, "gold", table.mart), REPORT_MONTH)
+    path = table_path(root, "gold", table.mart)
+    full_refresh(rows, path, REPORT_MONTH)
+    return mart.sparkSession.read.schema(rows.schema).parquet(path)

@@ -22,7 +22,7 @@ from railyard.plans import gold
 from railyard.plans.silver import EVENT_DAY, read_silver
 from railyard.rails import ACH, Rail
 from railyard.session import drop_path, list_folders
-from railyard.sources.tables import append_rows, table_exists, table_path
+from railyard.sources.tables import append_rows, is_committed, table_exists, table_path
 
 NOTES = "changed_days"
 NOTE_SCHEMA = T.StructType([T.StructField(EVENT_DAY, T.DateType()), T.StructField("everything", T.BooleanType())])
@@ -52,28 +52,36 @@ def _path(root: str, rail: Rail, kind: str) -> str:
     return table_path(root, "gold", f"rollup_{kind}_{rail.name}")
 
 
+def _rollup(rail: Rail, kind: str, rows: DataFrame) -> DataFrame:
+    if kind == "channel":
+        return gold.channel_rollup(gold.unified(rail, rows, EVENT_DAY), EVENT_DAY)
+    return gold.settlement_rollup(rows, EVENT_DAY)
+
+
+def _read(spark: SparkSession, root: str, rail: Rail, kind: str) -> DataFrame:
+    """The written rollup; the schema is given, as a rollup without rows has no files."""
+    schema = _rollup(rail, kind, read_silver(spark, rail, root)).schema
+    return spark.read.schema(schema).parquet(_path(root, rail, kind)).drop(EVENT_DAY)
+
+
 def _refresh(spark: SparkSession, root: str, rail: Rail, kind: str, days: set[dt.date | None] | None) -> None:
     path = _path(root, rail, kind)
     rows = read_silver(spark, rail, root)
-    if days is None or not table_exists(spark, path):
+    if days is None or not is_committed(spark, path):
         drop_path(spark, path)
     else:
         changed = list(days)
         for day in changed:
             drop_path(spark, partition_path(path, EVENT_DAY, day))
         rows = rows.filter(in_partitions(EVENT_DAY, changed))
-    if kind == "channel":
-        rollup = gold.channel_rollup(gold.unified(rail, rows, EVENT_DAY), EVENT_DAY)
-    else:
-        rollup = gold.settlement_rollup(rows, EVENT_DAY)
-    write_partitions(rollup, path, EVENT_DAY)
+    write_partitions(_rollup(rail, kind, rows), path, EVENT_DAY)
 
 
 def refresh_rollups(spark: SparkSession, root: str, rail: Rail) -> None:
     """Bring the rail's rollups up to date with silver."""
     days = _noted(spark, root, rail)
     for kind in ("channel", "settlement") if rail.name == ACH.name else ("channel",):
-        if days is None or days or not table_exists(spark, _path(root, rail, kind)):
+        if days is None or days or not is_committed(spark, _path(root, rail, kind)):
             _refresh(spark, root, rail, kind, days)
     drop_path(spark, _notes_path(root, rail))
 
@@ -87,9 +95,9 @@ def tidy_notes(spark: SparkSession, root: str) -> None:
 
 def channel_rollups(spark: SparkSession, root: str, rails: list[Rail]) -> DataFrame:
     """All rails' rollups per date, scheme and channel."""
-    parts = [spark.read.parquet(_path(root, rail, "channel")).drop(EVENT_DAY) for rail in rails]
+    parts = [_read(spark, root, rail, "channel") for rail in rails]
     return gold.merged_rollup(reduce(DataFrame.unionByName, parts))
 
 
 def settlement_rollups(spark: SparkSession, root: str) -> DataFrame:
-    return gold.merged_settlement_rollup(spark.read.parquet(_path(root, ACH, "settlement")))
+    return gold.merged_settlement_rollup(_read(spark, root, ACH, "settlement"))

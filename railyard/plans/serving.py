@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from railyard import contracts
 from railyard.functions.clock import as_date, month_of
 from railyard.operators.merge import merge_into_parquet, merge_upsert
-from railyard.sources.tables import PARTITION, table_exists, table_path
+from railyard.sources.tables import PARTITION, is_committed, table_path
 
 REPORT_MONTH = PARTITION["serving"]
 
@@ -57,14 +57,15 @@ def publish(
     return merge_upsert(existing, in_window(rows, table.date, as_of, days), table.keys)
 
 
-def load_serving(table: ServingTable, mart: DataFrame, root: str, as_of: str | dt.date) -> None:
-    """Create or refresh the serving table under ``root``. Its partition follows from its key."""
+def load_serving(table: ServingTable, mart: DataFrame, root: str, as_of: str | dt.date) -> DataFrame:
+    """Create or refresh the serving table under ``root`` and read it. Its partition follows from its key."""
     spark = mart.sparkSession
     path = table_path(root, "serving", table.name)
     rows = typed(table, mart)
-    if table_exists(spark, path):
+    if is_committed(spark, path):
         rows = in_window(rows, table.date, as_of)
     rows = contracts.stamped(rows, "serving").withColumn(REPORT_MONTH, month_of(F.col(table.date)))
     merge_into_parquet(
         spark, path, rows, table.keys, REPORT_MONTH, partition_fixed_by_key=True, schema=rows.schema
     )
+    return spark.read.schema(rows.schema).parquet(path)

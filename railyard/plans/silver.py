@@ -13,7 +13,7 @@ from railyard.operators.dedup import latest_per_key, not_null_key
 from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
 from railyard.rails import Rail
-from railyard.sources.tables import PARTITION, table_exists, table_path
+from railyard.sources.tables import PARTITION, is_committed, table_path
 from railyard.sources.tables import full_refresh as replace_table
 
 EVENT_DAY = PARTITION["silver"]
@@ -78,7 +78,7 @@ def load_silver(
     """
     spark = bronze.sparkSession
     path = table_path(root, "silver", rail.silver_table)
-    if full_refresh or not table_exists(spark, path):
+    if full_refresh or not is_committed(spark, path):
         rows = silver(rail, bronze)
     else:
         rows = silver_increment(rail, bronze, read_silver(spark, rail, root))

@@ -33,6 +33,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` ever finished. A first load that broke off leaves no success marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, layer, table))
 

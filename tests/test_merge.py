@@ -86,6 +86,24 @@ def test_broken_merge_is_repaired_by_running_it_again(spark, tmp_path):
     assert table(spark, path) == [("a", 2, D2), ("b", 1, D2)]
 
 
+def test_first_load_that_broke_off_is_replaced(spark, tmp_path):
+    """Some partitions were moved into place, then the driver was lost: no success marker."""
+    path = str(tmp_path / "t")
+    frame(spark, ("a", 1, D1), ("ghost", 1, D3)).write.partitionBy("d").parquet(path)
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    merge_into_parquet(spark, path, frame(spark, ("a", 2, D1), ("b", 2, D2)), ["k"], "d")
+    assert table(spark, path) == [("a", 2, D1), ("b", 2, D2)]
+
+
+def test_refused_first_load_leaves_nothing(spark, tmp_path):
+    told = []
+    with pytest.raises(ValueError, match="not unique"):
+        merge_into_parquet(
+            spark, str(tmp_path / "t"), frame(spark, ("a", 1, D1), ("a", 2, D1)), ["k"], "d", before_change=told.append
+        )
+    assert told == [None] and not (tmp_path / "t").exists()
+
+
 def test_new_column_on_parquet(spark, tmp_path):
     path = str(tmp_path / "t")
     merge_into_parquet(spark, path, frame(spark, ("a", 1, D1), ("b", 1, D2)), ["k"], "d")

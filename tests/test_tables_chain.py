@@ -229,3 +229,11 @@ def test_run_broken_off_before_gold_is_caught_up(spark, tmp_path):
     )
     chain.build_gold(spark, root, list(RAILS.values()))
     assert marts_of(spark, root) == full_marts(spark, root)
+
+
+def test_mart_without_rows(spark, tmp_path):
+    """No transfer has a settlement date: the settlement mart and its copy are empty, the rest is built."""
+    rows = all_bronze(spark, ach=[{"settlement_date": None}])
+    counts = run(spark, rows, str(tmp_path), NOW, block_on_tests=False)
+    assert (counts["mart_settlement_summary"], counts["settlement_summary"]) == (0, 0)
+    assert counts["mart_daily_txn_volume"] == counts["daily_txn_volume"] == 4
