@@ -7,9 +7,10 @@ A document's set holds its distinct word shingles; two documents link at a simil
   pair agrees in a whole part. Nodes with an equal part form a group; its smallest node is the pivot. A shared
   passage does not group documents unless it fills a whole part of both.
 * Nodes are compared with their pivots. Linked nodes become components: the similar documents of a group.
-* Token-group matrix. A group that still holds several components keeps the union of each component's tokens. A node
-  can only link into a component if their overlap reaches ``PERCENT`` of its own set; only those are opened, and the
-  node is compared with the members it shares a part with. Nothing is compared twice, nothing is capped.
+* Token-group matrix. A group that still holds several components gets a matrix row for each: the greatest count of
+  its members' tokens in each of some hash buckets, a bounded form of their token union. A node's overlap with any
+  member is at most the sum of the smaller counts; only components where that is enough for a link are opened, and
+  the node is compared with the members it shares a part with. Nothing is compared twice, nothing is capped.
 
 Comparisons run in salted portions of a pivot's nodes, against one set held at a time.
 
@@ -128,8 +129,9 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "t", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, t long, n long, mark long, mark2 long")
 
 
-def parts(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(sig, node): part signatures; a task gives a set's parts once, as far as it remembers the sets it has seen."""
+def parts(docs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
+    """(sig, node): part signatures of ``bits`` bits; a task gives a set's parts once, as far as it remembers the sets
+    it has seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -144,7 +146,7 @@ def parts(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         seen.add(mark)
                         chosen[k] = True
                 sig, text = signatures(sets, chosen, percent)
-                yield pa.RecordBatch.from_arrays([arrays.as_long(sig), arrays.as_long(sets.mark[text])], names=["sig", "node"])
+                yield pa.RecordBatch.from_arrays([arrays.as_long(sig >> np.uint64(64 - bits)), arrays.as_long(sets.mark[text])], names=["sig", "node"])
 
     return docs.select("text").mapInArrow(run, "sig long, node long")
 
@@ -175,22 +177,34 @@ def grouped(signed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, pivot long, node long")
 
 
-def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) of ``pairs`` that link; decided on the sets themselves."""
-    sizes = classes.groupBy("mark").agg(F.min("n").alias("n"))
-    pairs = (
-        pairs.join(sizes.select(F.col("mark").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(sizes.select(F.col("mark").alias("b"), F.col("n").alias("n_b")), "b")
-        .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        .select("a", "b")
-    )
-    pairs = tables.written(pairs, "pairs")
+def portioned(pairs: DataFrame) -> DataFrame:
+    """(a, portion, part, mark): what is to be compared, in portions of an ``a``'s partners; part 0 is ``a`` itself."""
     portions = pairs.groupBy("a").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("portions"))
     members = pairs.join(portions, "a").select("a", F.pmod(F.xxhash64("b"), F.col("portions")).cast("int").alias("portion"), F.lit(1).alias("part"), F.col("b").alias("mark"))
     heads = portions.select("a", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("part"), F.col("a").alias("mark"))
-    wanted = members.union(heads).join(classes.select("mark", "rep"), "mark")
-    wanted = wanted.select("a", "portion", "part", "mark", F.col("rep.doc_id").alias("rep_id"), F.col("rep.t").alias("rep_t"))
-    rows = docs.join(wanted, (docs["t"] == wanted["rep_t"]) & docs["doc_id"].eqNullSafe(wanted["rep_id"])).select("a", "portion", "part", "mark", "text")
+    return members.union(heads)
+
+
+def first_texts(shared: DataFrame, best: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The texts of all grouped nodes, laid out for the first comparison; ``main`` marks one row of each node.
+
+    The documents are shuffled once, here. Nodes without a pivot to compare with have part 2.
+    """
+    pairs = tables.written(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "best")
+    laid = portioned(pairs)
+    nodes = shared.select("node").union(shared.select(F.col("pivot").alias("node"))).distinct()
+    others = nodes.join(laid.select(F.col("mark").alias("node")).distinct(), "node", "left_anti")
+    laid = laid.union(others.select(F.col("node").alias("a"), F.lit(0).alias("portion"), F.lit(2).alias("part"), F.col("node").alias("mark")))
+    second = pairs.select(F.col("b").alias("mark"), F.lit(True).alias("second"))
+    laid = laid.join(second, "mark", "left").withColumn("main", (F.col("part") != 0) | (F.col("second").isNull() & (F.col("portion") == 0)))
+    wanted = laid.join(classes.select("mark", "rep"), "mark")
+    wanted = wanted.select("a", "portion", "part", "mark", "main", F.col("rep.doc_id").alias("rep_id"), F.col("rep.t").alias("rep_t"))
+    rows = docs.join(wanted, (docs["t"] == wanted["rep_t"]) & docs["doc_id"].eqNullSafe(wanted["rep_id"]))
+    return tables.written(rows.select("a", "portion", "part", "mark", "main", "text"), "texts")
+
+
+def compared(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) that link, of (a, portion, part, mark, text); decided on the sets themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, heads = None, []
@@ -218,71 +232,171 @@ def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                                 break
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    dealt = rows.repartition("a", "portion").sortWithinPartitions("a", "portion", "part")
+    dealt = rows.select("a", "portion", "part", "mark", "text").repartition("a", "portion").sortWithinPartitions("a", "portion", "part")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def node_tokens(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, token) for the given nodes."""
-    wanted = classes.join(nodes.select(F.col("node").alias("mark")).distinct(), "mark").select("mark", F.col("rep.doc_id").alias("rep_id"), F.col("rep.t").alias("rep_t"))
-    rows = docs.join(wanted, (docs["t"] == wanted["rep_t"]) & docs["doc_id"].eqNullSafe(wanted["rep_id"])).select("mark", "text")
+def bucket_counts(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens fall into each bucket of a hash; buckets are a power of two, about half as many as tokens."""
+    buckets = 1 << min(13, max(3, (len(tokens) // 2).bit_length()))
+    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 65535).astype(np.uint16)
+
+
+def folded(x: np.ndarray, buckets: int) -> np.ndarray:
+    """The same with fewer buckets."""
+    return np.minimum(x.reshape(-1, buckets).sum(0, dtype=np.int64), 65535).astype(np.uint16)
+
+
+def overlap_bound(x: np.ndarray, y: np.ndarray) -> int:
+    """At least as many as the tokens two sets can share; a full bucket counts as any number."""
+    buckets = min(len(x), len(y))
+    x, y = folded(x, buckets).astype(np.int64), folded(y, buckets).astype(np.int64)
+    return 1 << 60 if ((x == 65535) & (y == 65535)).any() else int(np.minimum(x, y).sum())
+
+
+def profiles(texts: DataFrame, width: int) -> DataFrame:
+    """(node, profile): bucket counts of each node's tokens, about a byte a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in arrays.chunks(batch.column(1)):
-                sets = Sets(texts, width)
-                mark = batch.column(0)[texts.first : texts.first + texts.count]
-                yield pa.RecordBatch.from_arrays([mark.take(pa.array(sets.owner)), arrays.as_long(sets.tokens)], names=["node", "token"])
+            for part in arrays.chunks(batch.column(1)):
+                sets = Sets(part, width)
+                made = [bucket_counts(sets.of(k)).tobytes() for k in range(part.count)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part.first : part.first + part.count], pa.array(made, pa.binary())], names=["node", "profile"])
+
+    return texts.select("mark", "text").mapInArrow(run, "node long, profile binary")
+
+
+def unions(members: DataFrame) -> DataFrame:
+    """(group, matrix) of (group, profile): the greatest count of each bucket. Tasks combine theirs first."""
+
+    def merged(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        buckets = min(len(x), len(y))
+        return np.maximum(folded(x, buckets), folded(y, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def given() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["group", "profile"])
+            held.clear()
+            return made
+
+        for batch in batches:
+            for group, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(value, np.uint16)
+                held[group] = merged(held[group], counts) if group in held else counts
+            if len(held) > 20_000:  # rows come sorted, so only the last group can go on
+                last = held.pop(group)
+                yield given()
+                held[group] = last
+        yield given()
+
+    schema = "group long, profile binary"
+    combined = members.select("group", "profile").sortWithinPartitions("group").mapInArrow(run, schema)
+    return combined.repartition("group").sortWithinPartitions("group").mapInArrow(run, schema).withColumnRenamed("profile", "matrix")
+
+
+def possible(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """``keys`` of the rows (keys, n, low, profile, matrix) whose overlap bound lets a set of size ``n`` link with one
+    of size ``low`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, low = batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist()
+            good = []
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(len(keys) + c)[k].as_buffer(), np.uint16) for c in (2, 3))
+                least = max(low[k], -(-n[k] * percent // 100))
+                good.append(overlap_bound(x, y) * (100 + percent) >= percent * (n[k] + least))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good, pa.bool_())) for k in range(len(keys))], names=keys)
+
+    return rows.select(*keys, "n", "low", "profile", "matrix").mapInArrow(run, ", ".join(f"{k} long" for k in keys))
 
-    return rows.mapInArrow(run, "node long, token long")
 
+def plausible(pairs: DataFrame, sizes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(a, b) whose profiles let them link."""
+    a = sizes.join(known, "node").select(F.col("node").alias("a"), "n", "profile")
+    b = sizes.join(known, "node").select(F.col("node").alias("b"), F.col("n").alias("low"), F.col("profile").alias("matrix"))
+    return possible(pairs.select("a", "b").join(a, "a").join(b, "b"), ["a", "b"], percent)
 
-def opened(groups: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """Pairs still to be compared: (a, b) of different components in one group whose bound lets them link."""
-    members = groups.select("sig", "node").union(groups.select("sig", F.col("pivot").alias("node"))).distinct()
-    rooted = members.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+
+def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs still to be compared: (a, b) of different components in one group whose bound lets them link.
+
+    Pivots have met all others of their groups, so only the other nodes are left. Of two components one asks.
+    """
+    rooted = groups.select("sig", "node").join(roots, "node", "left").join(sizes, "node").select("sig", "node", F.coalesce("root", "node").alias("root"), "n")
     rooted = tables.written(rooted, "rooted")
     mixed = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
     rooted = tables.written(rooted.join(mixed, "sig", "left_semi"), "mixed")
     if rooted.isEmpty():
         return None
-    other = rooted.select("sig", F.col("root").alias("group")).distinct()
-    queries = tables.written(rooted.join(other, "sig").filter("root <> group").select("node", "group").distinct(), "queries")
-    tokens = tables.written(node_tokens(rooted, classes, docs, width), "tokens")
-    matrix = tokens.join(rooted.select("node", F.col("root").alias("group")).distinct(), "node").select("group", "token").distinct()
-    overlap = queries.join(tokens, "node").join(matrix, ["group", "token"]).groupBy("node", "group").agg(F.count("*").alias("overlap"))
-    sizes = tokens.groupBy("node").agg(F.count("*").alias("n"))
-    qualifying = overlap.join(sizes, "node").filter(F.col("overlap") * 100 >= F.col("n") * percent).select("node", "group")
+    others = rooted.groupBy("sig", F.col("root").alias("group")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    fits = (F.col("root") > F.col("group")) & (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
+    queries = rooted.join(others, "sig").filter(fits).groupBy("node", "group").agg(F.min("n").alias("n"), F.min("low").alias("low"))
+    queries = tables.written(queries, "queries")
+    if queries.isEmpty():
+        return None
+    asked = queries.select("group").distinct()
+    members = rooted.select("node", F.col("root").alias("group")).distinct().join(asked, "group", "left_semi").join(known, "node")
+    matrix = tables.written(unions(members), "matrix")
+    qualifying = possible(queries.join(known, "node").join(matrix, "group"), ["node", "group"], percent)
     qualifying = tables.written(qualifying, "qualifying")
     near = rooted.select("sig", F.col("node").alias("member"), F.col("root").alias("group"))
     pairs = rooted.select("sig", "node").join(qualifying, "node").join(near, ["sig", "group"])
     return pairs.select(F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")).distinct()
 
 
+def close(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b) whose sizes let them link."""
+    a, b = (sizes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b").filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).drop("n_a", "n_b")
+
+
+def signature_bits(tokens: int) -> int:
+    """Wide enough that few signatures are equal by chance, which would only cost a comparison; short ones move less."""
+    return min(64, max(32, int(tokens).bit_length() + 7))
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one component."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, t (hash of its text), n_shingles, component_id."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
     sets = tables.written(sized(docs, width), "sets")
     classes = sets.filter("n > 0").groupBy("mark", "mark2").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.min("doc_id").alias("first_id"), F.min("n").alias("n"))
     classes = tables.written(classes, "classes")
-    groups = tables.written(grouped(parts(docs, width, percent)), "groups")
+    sizes = tables.written(classes.groupBy(F.col("mark").alias("node")).agg(F.min("n").alias("n")), "sizes")
+    bits = signature_bits(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    groups = tables.written(grouped(parts(docs, width, percent, bits)), "groups")
     # first with the pivot a node shares most parts with, then with others that are not in its component by then
     shared = tables.written(groups.groupBy("pivot", "node").agg(F.count("*").alias("parts")), "shared")
-    best = shared.groupBy("node").agg(F.max_by("pivot", F.struct("parts", "pivot")).alias("pivot"))
-    links = tables.written(compared(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), classes, docs, width, percent), "links")
+    likely = tables.written(close(shared.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "parts"), sizes, percent), "likely")
+    best = likely.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("parts", "a")).alias("pivot"))
+    texts = first_texts(shared, best, classes, docs)
+    links = tables.written(compared(texts.filter("part < 2"), width, percent), "links")
     roots = components(links)
-    rest = shared.join(best, ["pivot", "node"], "left_anti").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    rest = tables.written(apart(rest, roots), "rest")
-    if not rest.isEmpty():
-        links = tables.written(links.union(compared(rest, classes, docs, width, percent)), "links")
-        roots = components(links)
-    pairs = opened(groups, roots, classes, docs, width, percent)
-    if pairs is not None:
-        tested = shared.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        pairs = tables.written(pairs.join(tested, ["a", "b"], "left_anti"), "opened")
+    one_text = texts.filter("main").select("mark", "text")
+    known = tables.written(profiles(one_text, width), "profiles")
+
+    def more(pairs: DataFrame) -> None:
+        nonlocal links, roots
         if not pairs.isEmpty():
-            links = tables.written(links.union(compared(pairs, classes, docs, width, percent)), "links")
+            links = tables.written(links.union(compared(portioned(pairs).join(one_text, "mark"), width, percent)), "links")
             roots = components(links)
+
+    rest = likely.select("a", "b").join(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti")
+    more(tables.written(plausible(apart(rest, roots), sizes, known, percent), "rest"))
+    pairs = opened(groups, roots, sizes, known, percent)
+    if pairs is not None:
+        pairs = close(pairs, sizes, percent).join(likely.select("a", "b"), ["a", "b"], "left_anti")
+        more(tables.written(plausible(pairs, sizes, known, percent), "opened"))
     placed = classes.join(roots, classes["mark"] == roots["node"], "left").select("mark", "mark2", "first_id", F.coalesce("root", "mark").alias("root"), (F.col("root").isNotNull()).alias("linked"))
     # an unlinked node is a component by its full digest
     placed = placed.withColumn("own", F.when(~F.col("linked"), F.col("mark2")))
@@ -294,13 +408,6 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     return with_words.union(without)
 
 
-def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    return pairs.join(a, "a", "left").join(b, "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(tables.read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
