@@ -4,8 +4,9 @@ A document's set holds its distinct word shingles; two documents link at a simil
 
 * Equal sets are one node from the start, so copies cost one row per map task.
 * Grouping. Sets are divided into parts by token hash, more parts than a linking pair can differ in, so that such a
-  pair agrees in a whole part. Nodes with an equal part form a group; its smallest node is the pivot. A shared
-  passage does not group documents unless it fills a whole part of both.
+  pair agrees in a whole part. Parts are made of a set's rarer tokens as far as these suffice, so that a passage
+  shared by many documents groups none of them. Nodes with an equal part form a group; its most central node is the
+  pivot.
 * Nodes are compared with their pivots. Linked nodes become components: the similar documents of a group.
 * Token-group matrix. A group that still holds several components gets a matrix row for each: the greatest count of
   its members' tokens in each of some hash buckets, a bounded form of their token union. A node's overlap with any
@@ -34,6 +35,9 @@ WIDTH = 5
 PERCENT = 80
 PORTION = 256
 SEEN = 500_000
+SLOTS = 1 << 20
+SLICES = 64
+LAST = 2
 
 
 def size_bounds() -> np.ndarray:
@@ -72,49 +76,94 @@ class Sets:
         return self.tokens[self.ends[k] - self.size[k] : self.ends[k]]
 
 
-def signatures(sets: Sets, chosen: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(sets: Sets, chosen: np.ndarray, percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the parts of the chosen texts, and their texts.
 
     A pair in a class of sizes up to N differs in at most 2 N (100 - percent) / (100 + percent) tokens, and in as
     many parts at most. With more parts than that, some part is equal. A part empty on both sides does not count:
-    spare parts make up for these, and a text with more empty parts than spare ones gives those as well.
+    spare parts make up for these. This also holds for the tokens outside ``common`` alone, so parts are made of
+    these. A text for which they do not suffice adds smaller parts of these, then the parts of all its tokens: of two
+    texts, both give the parts that suffice for either.
     """
     bounds = size_bounds()
     own = np.searchsorted(bounds, sets.size, "right") - 1
     top = np.searchsorted(bounds, sets.size * 100 // percent, "right") - 1
+    rare = ~common[slot_of(sets.tokens, len(common))]
     mixed = arrays.mix(sets.tokens ^ np.uint64(0x5BD1E995))
-    low, mid, high = (mixed & np.uint64(0x1FFFFF)).astype(float), (mixed >> np.uint64(21) & np.uint64(0x1FFFFF)).astype(float), (mixed >> np.uint64(42)).astype(float)
+    pieces = [(mixed >> np.uint64(k * 21) & np.uint64(0x1FFFFF)).astype(float) for k in range(3)]
     found, texts = [], []
-    for up in range(3):
-        kind = own + up
-        use = chosen & (kind <= top) & (sets.size > 0)
-        if not use.any():
-            continue
-        largest = bounds[np.minimum(kind, len(bounds) - 2) + 1] - 1
-        differ = 2 * largest * (100 - percent) // (100 + percent)
-        parts = np.where(differ == 0, 1, differ + 1 + (differ + 1) * 15 // 100 + 2)
-        parts = np.where(use, parts, 0)
+
+    def give(kind: np.ndarray, use: np.ndarray, tokens: np.ndarray, differ: np.ndarray, spare: int, scheme: int) -> np.ndarray:
+        """Adds one scheme's signatures; returns whether a text has an equal part that is not empty in any link."""
+        parts = np.where(use, np.where(differ == 0, 1, differ + 1 + (differ + 1) * spare // 100 + 2), 0)
         base = np.cumsum(parts) - parts
         total = int(parts.sum())
-        mine = use[sets.owner]
+        mine = use[sets.owner] & tokens
         owner = sets.owner[mine]
         slot = base[owner] + ((sets.tokens[mine] >> np.uint64(24)) % parts[owner].astype(np.uint64)).astype(np.int64)
         counts = np.bincount(slot, minlength=total)
-        sums = [np.bincount(slot, weights=w[mine], minlength=total).astype(np.uint64) for w in (low, mid, high)]
+        sums = [np.bincount(slot, weights=w[mine], minlength=total).astype(np.uint64) for w in pieces]
         value = sums[0] + (sums[1] << np.uint64(21)) + (sums[2] << np.uint64(42))
         text = np.repeat(np.arange(sets.count), parts)
         part = np.arange(total) - base[text]
         empty = np.bincount(text, weights=counts == 0, minlength=sets.count)
-        with_empty = (parts - differ <= empty) & (parts > 1)
-        give = (counts > 0) | with_empty[text]
-        tag = (kind[text] * 1_000_003 + part).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + counts.astype(np.uint64)
-        found.append(arrays.mix(value + arrays.mix(tag))[give])
-        texts.append(text[give])
+        enough = empty < parts - differ
+        # too many empty parts: in the last scheme, these are given too
+        keep = (counts > 0) | (~enough[text] if scheme == LAST else np.zeros(total, bool))
+        tag = (kind[text] * 1_000_003 + part).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (counts * 3 + scheme).astype(np.uint64)
+        found.append(arrays.mix(value + arrays.mix(tag))[keep])
+        texts.append(text[keep])
+        return enough
+
+    for up in range(3):
+        kind = own + up
+        use = chosen & (kind <= top) & (sets.size > 0)
+        if not use.any():
+            continue
+        largest = bounds[np.minimum(kind, len(bounds) - 2) + 1] - 1
+        differ = 2 * largest * (100 - percent) // (100 + percent)
+        for scheme, (tokens, spare) in enumerate(((rare, 30), (rare, 300), (np.ones(len(rare), bool), 15))):
+            if use.any():
+                use = use & ~give(kind, use, tokens, differ, spare, scheme)
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(found), np.concatenate(texts)
 
 
+def slot_of(tokens: np.ndarray, size: int) -> np.ndarray:
+    return (tokens >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+
+
+def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
+    """Marks the slots of ``SLOTS`` token hashes that stand out by their number of documents, over all documents.
+
+    A fixed size, whatever the corpus; it only decides how many candidates there are, never which links are found.
+    """
+    cut = SLOTS // SLICES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for texts in arrays.chunks(batch.column(0)):
+                counts += np.bincount(slot_of(Sets(texts, width).tokens, SLOTS), minlength=SLOTS)
+        blobs = [counts[k * cut : (k + 1) * cut].astype(np.uint32).tobytes() for k in range(SLICES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names=["slice", "blob"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[k] = sums.get(k, 0) + np.frombuffer(blob.as_buffer(), np.uint32).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "blob"])
+
+    schema = "slice int, blob binary"
+    counts = np.zeros(SLOTS, np.int64)
+    for r in docs.select("text").mapInArrow(run, schema).repartition("slice").mapInArrow(add, schema).collect():  # SLICES rows of a fixed size
+        counts[r["slice"] * cut : (r["slice"] + 1) * cut] = np.frombuffer(r["blob"], np.int64)
+    usual = float(np.median(counts))
+    return counts > usual + 6 * max(1.0, usual) ** 0.5 + 6
+
+
 def sized(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, t, n, mark, mark2) per row: text hash, set size and 128-bit set digest."""
 
@@ -129,9 +178,10 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "t", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, t long, n long, mark long, mark2 long")
 
 
-def parts(docs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
+def parts(docs: DataFrame, width: int, percent: int, bits: int, common: np.ndarray) -> DataFrame:
     """(sig, node): part signatures of ``bits`` bits; a task gives a set's parts once, as far as it remembers the sets
     it has seen."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -145,7 +195,7 @@ def parts(docs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
                     if mark not in seen:
                         seen.add(mark)
                         chosen[k] = True
-                sig, text = signatures(sets, chosen, percent)
+                sig, text = signatures(sets, chosen, percent, shared.value)
                 yield pa.RecordBatch.from_arrays([arrays.as_long(sig >> np.uint64(64 - bits)), arrays.as_long(sets.mark[text])], names=["sig", "node"])
 
     return docs.select("text").mapInArrow(run, "sig long, node long")
@@ -177,6 +227,20 @@ def grouped(signed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "sig long, pivot long, node long")
 
 
+def centered(groups: DataFrame) -> DataFrame:
+    """(sig, pivot, node) with the most central node of each group as its pivot.
+
+    Central is what shares its parts with most others, summed over all its groups: the original of many edited
+    copies rather than one of the copies, which may each be too far from the others to link.
+    """
+    members = groups.select("sig", "node").union(groups.select("sig", F.col("pivot").alias("node")).distinct())
+    sizes = groups.groupBy("sig").agg((F.count("*") + 1).alias("size"))
+    weights = members.join(sizes, "sig").groupBy("node").agg(F.sum("size").alias("weight"))
+    weighted = tables.written(members.join(weights, "node"), "weighted")
+    pivots = weighted.groupBy("sig").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
+    return weighted.join(pivots, "sig").filter("node <> pivot").select("sig", "pivot", "node")
+
+
 def portioned(pairs: DataFrame) -> DataFrame:
     """(a, portion, part, mark): what is to be compared, in portions of an ``a``'s partners; part 0 is ``a`` itself."""
     portions = pairs.groupBy("a").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("portions"))
@@ -374,7 +438,8 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     classes = tables.written(classes, "classes")
     sizes = tables.written(classes.groupBy(F.col("mark").alias("node")).agg(F.min("n").alias("n")), "sizes")
     bits = signature_bits(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    groups = tables.written(grouped(parts(docs, width, percent, bits)), "groups")
+    groups = tables.written(grouped(parts(docs, width, percent, bits, common_tokens(docs, width))), "alike")
+    groups = tables.written(centered(groups), "groups")
     # first with the pivot a node shares most parts with, then with others that are not in its component by then
     shared = tables.written(groups.groupBy("pivot", "node").agg(F.count("*").alias("parts")), "shared")
     likely = tables.written(close(shared.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "parts"), sizes, percent), "likely")
