@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from railyard.operators.dedup import assert_unique
 from railyard.session import drop_path, staged
-from railyard.sources.tables import full_refresh, is_committed
+from railyard.sources.tables import beside, full_refresh, is_committed, path_exists
 
 
 def same_key(keys: Sequence[str], left: str, right: str, strict_sql_nulls: bool = False) -> Column:
@@ -53,7 +53,7 @@ def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str]
         .groupBy(partition)
         .agg(F.count("*").alias("replaced"))
     )
-    affected = F.broadcast(replaced.unionByName(arriving.select(partition, F.lit(0).cast("bigint").alias("replaced"))))
+    affected = replaced.unionByName(arriving.select(partition, F.lit(0).cast("bigint").alias("replaced")))
     totals = (
         target.select(partition)
         .alias("t")
@@ -121,8 +121,11 @@ def merge_into_parquet(
 
     A merge that breaks off is repaired by running it again with the same source. Emptied partitions go
     first: all their rows are in the source, so a rerun brings them back, while the other order could
-    leave a stale copy that a later incremental load would not find.
+    leave a stale copy that a later incremental load would not find. The new partitions are written beside
+    the table before any old one is replaced; a run that finds them whole puts them in place first, so rows
+    that are not in the source never exist in Spark's staging folder only.
     """
+    finish_rewrite(spark, path, partition)
     if not is_committed(spark, path):
         if before_change:
             before_change(None)
@@ -149,7 +152,19 @@ def merge_into_parquet(
             drop_path(spark, partition_path(path, partition, value))
         if touched:
             current = spark.read.schema(target.schema).parquet(path).filter(in_partitions(partition, touched))
-            write_partitions(merge_upsert(current, batch, keys), path, partition)
+            rewrite = beside(path, "rewrite")
+            full_refresh(merge_upsert(current, batch, keys), rewrite, partition)
+            finish_rewrite(spark, path, partition)
+
+
+def finish_rewrite(spark: SparkSession, path: str, partition: str) -> None:
+    """Put recorded new partitions in place. What was not written to its end is dropped: the table is untouched."""
+    rewrite = beside(path, "rewrite")
+    if not path_exists(spark, rewrite):
+        return
+    if is_committed(spark, rewrite):
+        write_partitions(spark.read.parquet(rewrite), path, partition)
+    drop_path(spark, rewrite)
 
 
 def _values(df: DataFrame, partition: str) -> list[object]:

@@ -72,7 +72,7 @@ def wallet_status(wallet_silver: DataFrame) -> DataFrame:
     return (
         wallet_silver.groupBy("txn_status")
         .agg(F.count("*").alias("cnt"), millions.alias("total_egp_millions"))
-        .orderBy(F.col("cnt").desc())
+        .orderBy(F.col("cnt").desc(), "txn_status")
     )
 
 

@@ -22,7 +22,7 @@ from railyard.plans import gold
 from railyard.plans.silver import EVENT_DAY, read_silver
 from railyard.rails import ACH, Rail
 from railyard.session import drop_path, list_folders
-from railyard.sources.tables import append_rows, is_committed, table_exists, table_path
+from railyard.sources.tables import append_rows, is_committed, recorded_write, table_exists, table_path
 
 NOTES = "changed_days"
 NOTE_SCHEMA = T.StructType([T.StructField(EVENT_DAY, T.DateType()), T.StructField("everything", T.BooleanType())])
@@ -67,14 +67,16 @@ def _read(spark: SparkSession, root: str, rail: Rail, kind: str) -> DataFrame:
 def _refresh(spark: SparkSession, root: str, rail: Rail, kind: str, days: set[dt.date | None] | None) -> None:
     path = _path(root, rail, kind)
     rows = read_silver(spark, rail, root)
-    if days is None or not is_committed(spark, path):
-        drop_path(spark, path)
-    else:
-        changed = list(days)
-        for day in changed:
-            drop_path(spark, partition_path(path, EVENT_DAY, day))
-        rows = rows.filter(in_partitions(EVENT_DAY, changed))
-    write_partitions(_rollup(rail, kind, rows), path, EVENT_DAY)
+    whole = days is None or not is_committed(spark, path)
+    with recorded_write(spark, path):
+        if whole:
+            drop_path(spark, path)
+        else:
+            changed = list(days)
+            for day in changed:
+                drop_path(spark, partition_path(path, EVENT_DAY, day))
+            rows = rows.filter(in_partitions(EVENT_DAY, changed))
+        write_partitions(_rollup(rail, kind, rows), path, EVENT_DAY)
 
 
 def refresh_rollups(spark: SparkSession, root: str, rail: Rail) -> None:

@@ -13,7 +13,8 @@ from railyard.operators.dedup import latest_per_key, not_null_key
 from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
 from railyard.rails import Rail
-from railyard.sources.tables import PARTITION, is_committed, table_path
+from railyard.session import require_ansi
+from railyard.sources.tables import PARTITION, clear_mark, is_committed, note_mark, pending_mark, table_path
 from railyard.sources.tables import full_refresh as replace_table
 
 EVENT_DAY = PARTITION["silver"]
@@ -77,11 +78,20 @@ def load_silver(
     ``before_change`` is told the days about to change, or None for all of them.
     """
     spark = bronze.sparkSession
+    require_ansi(spark)
     path = table_path(root, "silver", rail.silver_table)
+    noted = False
     if full_refresh or not is_committed(spark, path):
         rows = silver(rail, bronze)
     else:
-        rows = silver_increment(rail, bronze, read_silver(spark, rail, root))
+        # the mark of a load that broke off still holds: the target's maximum may be that load's own
+        mark = pending_mark(spark, path)
+        if mark is None:
+            mark = high_water(read_silver(spark, rail, root), rail.high_water)
+            if mark is not None:
+                note_mark(spark, path, mark)
+        rows = silver(rail, since_high_water(bronze, rail.event_time, mark))
+        noted = True
     rows = with_event_day(rail, contracts.stamped(rows, "silver"))
     if full_refresh:
         if before_change:
@@ -90,3 +100,5 @@ def load_silver(
     else:
         schema = table_schema(spark, rail)
         merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=schema, before_change=before_change)
+    if noted or full_refresh:
+        clear_mark(spark, path)

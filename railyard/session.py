@@ -22,6 +22,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -51,8 +52,15 @@ def sized_for(input_bytes: int, bytes_per_scan_task: int = 1 << 30, bytes_per_re
 
 
 def pin_utc(spark: SparkSession) -> None:
-    """Event times carry no zone; every zoned value in the library is UTC."""
+    """Event times carry no zone; every zoned value in the library is UTC. Overflows and bad casts raise."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Without ANSI mode an unreadable amount becomes 0 and a sum too large NULL, so nothing is written then."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,7 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _LOCAL_DIRS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="railyard-"))
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="railyard-")
+    return _LOCAL_DIRS[application]
 
 
 _LOCAL_DIRS: dict[str, str] = {}

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railyard.session import drop_path
+
 # The layers, and the column each layer's tables are partitioned by.
 LAYERS = ("bronze", "silver", "gold", "serving")
 PARTITION = {"silver": "event_day", "gold": "report_month", "serving": "report_month"}
@@ -33,10 +36,70 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(place) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(place))
+
+
+def beside(path: str, kind: str) -> str:
+    """A folder or file of the library's own beside a table."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{kind}-{name}"
+
+
+@contextmanager
+def recorded_write(spark: SparkSession, path: str) -> Iterator[None]:
+    """Notes beside the table that a write began, and in the table that it ended."""
+    _touch(spark, beside(path, "begun"))
+    yield
+    _touch(spark, f"{path.rstrip('/')}/_railyard_complete")
+    drop_path(spark, beside(path, "begun"))
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` ever finished. A first load that broke off leaves no success marker."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    """Whether a write to ``path`` ever finished, by the library's own records.
+
+    ``full_refresh`` notes beside the table that it began, and in the table that it ended. A table with Spark's own
+    success marker counts too. Data with neither note is not the library's to replace: that raises.
+    """
+    if path_exists(spark, f"{path.rstrip('/')}/_railyard_complete"):
+        return True
+    if path_exists(spark, beside(path, "begun")):
+        return False
+    if path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        return True
+    if _has_data(spark, path):
+        raise RuntimeError(f"{path} holds data of which no load is recorded; remove it or add _SUCCESS")
+    return False
+
+
+def pending_mark(spark: SparkSession, path: str) -> object | None:
+    """The lower bound of a load that began and has not been confirmed."""
+    note = beside(path, "mark")
+    if not path_exists(spark, f"{note}/_railyard_complete"):
+        return None
+    return spark.read.parquet(note).first()["mark"]
+
+
+def note_mark(spark: SparkSession, path: str, mark: object) -> None:
+    note = beside(path, "mark")
+    spark.createDataFrame([(mark,)], ["mark"]).coalesce(1).write.mode("overwrite").parquet(note)
+    _touch(spark, f"{note}/_railyard_complete")
+
+
+def clear_mark(spark: SparkSession, path: str) -> None:
+    drop_path(spark, beside(path, "mark"))
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
@@ -58,9 +121,10 @@ def append_rows(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None
 
 def full_refresh(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Replace the whole table, partitions that no longer occur included."""
-    writer = df.hint("rebalance", partition) if partition else df
-    sink = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (sink.partitionBy(partition) if partition else sink).parquet(path)
+    with recorded_write(df.sparkSession, path):
+        writer = df.hint("rebalance", partition) if partition else df
+        sink = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (sink.partitionBy(partition) if partition else sink).parquet(path)
 
 
 def file_layout(table: DataFrame, partition: str | None = None) -> DataFrame:
@@ -102,7 +166,7 @@ def compact(
     plan = spark.createDataFrame(due, schema)
     if due:
         value = F.col(partition).cast("string")
-        wanted = F.broadcast(plan)  # one row per partition due
+        wanted = plan  # one row per partition due; the size check decides on a broadcast
         rows_before = table.join(wanted, value.eqNullSafe(F.col("partition_value")), "left_semi").count()
         spread = (
             table.join(wanted, value.eqNullSafe(F.col("partition_value")))

@@ -295,9 +295,10 @@ def semantic_queries() -> dict[str, Query]:
         return on_lake(lambda lake: semantic.metric_query(lake.marts, metrics, group_by, **more))
 
     def spine_gaps(lake: Lake) -> DataFrame:
-        """Transactions per calendar day, days without any included."""
+        """Transactions per calendar day, days without any included; no day of the mart lies outside."""
         per_day = semantic.metric_query(lake.marts, ["total_transactions"], ["metric_time__day"])
-        days = semantic.time_spine(lake.spark)
+        first, last = per_day.agg(F.min("metric_time__day").cast("string"), F.max("metric_time__day").cast("string")).first()
+        days = semantic.time_spine(lake.spark, min(first or semantic.SPINE_START, semantic.SPINE_START), max(last or semantic.SPINE_END, semantic.SPINE_END))
         return days.join(per_day, F.col("date_day") == F.col("metric_time__day"), "left").select(
             "date_day", F.coalesce("total_transactions", F.lit(0)).alias("total_transactions")
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from rows import as_dicts
 
 from railyard.operators.merge import merge_into_parquet, merge_upsert, touched_partitions, write_partitions
+from railyard.sources.tables import beside, full_refresh
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 SCHEMA = "k string, v int, d date"
@@ -87,14 +89,57 @@ def test_broken_merge_is_repaired_by_running_it_again(spark, tmp_path):
 
 
 def test_first_load_that_broke_off_is_replaced(spark, tmp_path):
-    """Some partitions were moved into place, then the driver was lost: no success marker."""
+    """Some partitions were moved into place, then the driver was lost: the load is noted as begun only."""
     path = str(tmp_path / "t")
     frame(spark, ("a", 1, D1), ("ghost", 1, D3)).write.partitionBy("d").parquet(path)
     (tmp_path / "t" / "_SUCCESS").unlink()
+    (tmp_path / ".begun-t").touch()
     merge_into_parquet(spark, path, frame(spark, ("a", 2, D1), ("b", 2, D2)), ["k"], "d")
     assert table(spark, path) == [("a", 2, D1), ("b", 2, D2)]
 
 
+def test_data_without_a_record_is_not_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, ("a", 1, D1)).write.partitionBy("d").parquet(path)
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="no load is recorded"):
+        merge_into_parquet(spark, path, frame(spark, ("b", 2, D2)), ["k"], "d")
+    assert table(spark, path) == [("a", 1, D1)]
+
+
+def test_merges_do_not_need_success_markers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        merge_into_parquet(spark, path, frame(spark, ("a", 1, D1)), ["k"], "d")
+        merge_into_parquet(spark, path, frame(spark, ("b", 1, D1)), ["k"], "d")
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert table(spark, path) == [("a", 1, D1), ("b", 1, D1)]
+
+
+def test_stop_between_delete_and_rename_keeps_rows(spark, tmp_path):
+    """The day's old folder is gone and the new one not yet in place; the recorded rewrite brings both rows back."""
+    path = str(tmp_path / "t")
+    merge_into_parquet(spark, path, frame(spark, ("kept", 1, D1), ("c", 1, D2)), ["k"], "d")
+    full_refresh(frame(spark, ("kept", 1, D1), ("new", 2, D1)), beside(path, "rewrite"), "d")
+    shutil.rmtree(tmp_path / "t" / "d=2024-01-01")
+    merge_into_parquet(spark, path, frame(spark, ("new", 2, D1)), ["k"], "d")
+    assert table(spark, path) == [("c", 1, D2), ("kept", 1, D1), ("new", 2, D1)]
+    assert not (tmp_path / ".rewrite-t").exists()
+
+
+def test_unfinished_rewrite_is_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge_into_parquet(spark, path, frame(spark, ("a", 1, D1)), ["k"], "d")
+    frame(spark, ("half", 1, D1)).write.partitionBy("d").parquet(beside(path, "rewrite"))
+    (tmp_path / ".rewrite-t" / "_SUCCESS").unlink()
+    (tmp_path / ".begun-.rewrite-t").touch()
+    merge_into_parquet(spark, path, frame(spark, ("b", 1, D1)), ["k"], "d")
+    assert table(spark, path) == [("a", 1, D1), ("b", 1, D1)]
+
+
 def test_refused_first_load_leaves_nothing(spark, tmp_path):
     told = []
     with pytest.raises(ValueError, match="not unique"):

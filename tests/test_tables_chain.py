@@ -237,3 +237,31 @@ def test_mart_without_rows(spark, tmp_path):
     counts = run(spark, rows, str(tmp_path), NOW, block_on_tests=False)
     assert (counts["mart_settlement_summary"], counts["settlement_summary"]) == (0, 0)
     assert counts["mart_daily_txn_volume"] == counts["daily_txn_volume"] == 4
+
+
+def test_load_that_broke_off_after_the_newest_day(spark, tmp_path):
+    """Of three new days only the newest is in place; the noted mark lets the next load bring the others."""
+    root = str(tmp_path)
+    day = dt.timedelta(days=1)
+    first = all_bronze(spark, ach=[{"txn_id": "a"}])["ach"]
+    silver.load_silver(ACH, first, root)
+    column = ACH.event_time
+    start = first.first()[column]
+    rows = [{"txn_id": "a"}, {"txn_id": "b", column: start + day}, {"txn_id": "c", column: start + 4 * day}]
+    bronze = all_bronze(spark, ach=rows)["ach"]
+    path = tables.table_path(root, "silver", ACH.silver_table)
+    tables.note_mark(spark, path, start)
+    newest = silver.with_event_day(ACH, contracts.stamped(silver.silver(ACH, bronze.filter("txn_id = 'c'")), "silver"))
+    newest.write.mode("append").partitionBy(silver.EVENT_DAY).parquet(path)
+    silver.load_silver(ACH, bronze, root)
+    assert sorted(r.txn_id for r in silver.read_silver(spark, ACH, root).collect()) == ["a", "b", "c"]
+    assert tables.pending_mark(spark, path) is None
+
+
+def test_nothing_is_loaded_without_ansi(spark, tmp_path):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            silver.load_silver(ACH, all_bronze(spark)["ach"], str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
