@@ -130,124 +130,71 @@ def newest_first(columns: str) -> str:
     return ", ".join(f"{c} DESC NULLS LAST" for c in columns.split())
 
 
-NOTHING = "CAST(0 AS DECIMAL(18,2))"
-EPOCH = "TIMESTAMP '1970-01-01'"
-
-
-def filled(expression: str, default: str | None) -> str:
-    return f"coalesce({expression}, {default})" if default else expression
-
-
-def as_is(column: str, default: str | None = None) -> str:
-    return filled(column, default)
-
-
-def coded(column: str, default: str | None = None) -> str:
-    return filled(f"upper(trim({column}))", default)
-
-
-def raised(column: str, default: str | None = None) -> str:
-    return filled(f"upper({column})", default)
-
-
-def day(column: str) -> str:
-    return f"CAST({column} AS DATE)"
-
-
-# silver column -> expression over the chosen bronze version
-CLEANSED = {
-    "ach": {
-        "txn_id": as_is("txn_id"),
-        "batch_id": as_is("batch_id"),
-        "txn_type": coded("txn_type"),
-        "originating_bank_id": coded("originating_bank_id"),
-        "receiving_bank_id": coded("receiving_bank_id"),
-        "originator_account": as_is("originator_account"),
-        "receiver_account": as_is("receiver_account"),
-        "amount_egp": as_is("amount_egp", NOTHING),
-        "currency_code": as_is("currency_code", "'EGP'"),
-        "txn_status": coded("txn_status"),
-        "source_created_at": as_is("created_at"),
-        "created_date": day("created_at"),
-        "settlement_date": as_is("settlement_date"),
-    },
-    "meeza": {
-        "auth_id": as_is("auth_id"),
-        "card_token": as_is("card_token", "''"),
-        "merchant_id": as_is("merchant_id", "'UNKNOWN'"),
-        "merchant_category": as_is("merchant_category", "'OTHER'"),
-        "terminal_id": as_is("terminal_id", "''"),
-        "txn_type": raised("txn_type"),
-        "channel": coded("channel"),
-        "auth_status": coded("auth_status"),
-        "is_approved": f"response_code = '00' OR {coded('auth_status')} = 'APPROVED'",
-        "response_code": as_is("response_code"),
-        "amount_egp": as_is("amount_egp", NOTHING),
-        "currency_code": as_is("currency_code", "'EGP'"),
-        "issuing_bank_id": as_is("issuing_bank_id"),
-        "acquiring_bank_id": as_is("acquiring_bank_id", "''"),
-        "is_international": as_is("is_international", "false"),
-        "auth_timestamp": as_is("auth_timestamp"),
-        "auth_date": day("auth_timestamp"),
-        "settlement_date": as_is("settlement_date", day("auth_timestamp")),
-    },
-    "ipn": {
-        "txn_id": as_is("txn_id"),
-        "payment_ref": filled("trim(payment_ref)", "''"),
-        "sender_proxy": as_is("sender_proxy", "'UNKNOWN'"),
-        "receiver_proxy": as_is("receiver_proxy", "'UNKNOWN'"),
-        "sender_bank_id": coded("sender_bank_id", "''"),
-        "receiver_bank_id": coded("receiver_bank_id", "''"),
-        "amount_egp": as_is("amount_egp", "0"),
-        "payment_purpose": coded("payment_purpose", "'P2P'"),
-        "txn_status": coded("txn_status", "'UNKNOWN'"),
-        "failure_reason": filled("trim(failure_reason)", "''"),
-        "initiation_channel": coded("initiation_channel", "'UNKNOWN'"),
-        "processing_time_ms": as_is("processing_time_ms", "0"),
-        "met_sla": "processing_time_ms IS NULL OR processing_time_ms <= 2000",
-        "initiated_date": day("initiated_at"),
-        "initiated_at": as_is("initiated_at"),
-        "completed_at": as_is("completed_at", "initiated_at"),
-    },
-    "wallet": {
-        "document_id": as_is("_id"),
-        "wallet_id": as_is("wallet_id", "'N/A'"),
-        "txn_type": raised("event_type"),
-        "channel": raised("channel"),
-        "issuing_bank_id": as_is("issuing_bank_id"),
-        "amount_egp": as_is("amount_egp", NOTHING),
-        "txn_status": raised("status"),
-        "event_timestamp": as_is("event_ts"),
-        "event_date": day("event_ts"),
-    },
-    "atm": {
-        "atm_id": as_is("atm_id", "'UNKNOWN'"),
-        "session_id": as_is("session_id", "'UNKNOWN'"),
-        "session_date": as_is("session_date", "DATE '1970-01-01'"),
-        "session_timestamp": as_is("session_ts", EPOCH),
-        "card_token": as_is("card_token", "'UNKNOWN'"),
-        "issuing_bank_id": as_is("issuing_bank_id", "'UNKNOWN'"),
-        "txn_type": raised("txn_type", "'UNKNOWN'"),
-        "amount_egp": as_is("amount_egp", NOTHING),
-        "currency_code": as_is("currency_code", "'EGP'"),
-        "response_code": as_is("response_code", "'UNKNOWN'"),
-        "txn_status": raised("status", "'UNKNOWN'"),
-        "processing_ms": as_is("CAST(processing_ms AS BIGINT)", "0"),
-        "created_ts": as_is("created_at", EPOCH),
-        "updated_ts": as_is("updated_at", EPOCH),
-    },
+# The rules for the newest version of each key, rule by rule: codes are trimmed and put in capitals, gaps get defaults,
+# then come the derived columns and new names. ``{latest}`` stands for those versions.
+SILVER = {
+    "ach": """
+        WITH codes AS (
+          SELECT * REPLACE (upper(trim(txn_type)) AS txn_type, upper(trim(txn_status)) AS txn_status,
+                            upper(trim(originating_bank_id)) AS originating_bank_id,
+                            upper(trim(receiving_bank_id)) AS receiving_bank_id) FROM ({latest})),
+        gaps AS (SELECT * REPLACE (coalesce(currency_code, 'EGP') AS currency_code, coalesce(amount_egp, 0.00) AS amount_egp) FROM codes)
+        SELECT * EXCLUDE (created_at), created_at AS source_created_at, CAST(created_at AS DATE) AS created_date FROM gaps""",
+    "meeza": """
+        WITH codes AS (
+          SELECT * REPLACE (upper(txn_type) AS txn_type, upper(trim(auth_status)) AS auth_status, upper(trim(channel)) AS channel)
+          FROM ({latest})),
+        gaps AS (
+          SELECT * REPLACE (ifnull(card_token, '') AS card_token, ifnull(terminal_id, '') AS terminal_id,
+                            ifnull(acquiring_bank_id, '') AS acquiring_bank_id, ifnull(merchant_id, 'UNKNOWN') AS merchant_id,
+                            ifnull(merchant_category, 'OTHER') AS merchant_category, ifnull(currency_code, 'EGP') AS currency_code,
+                            ifnull(amount_egp, 0.00) AS amount_egp, ifnull(is_international, false) AS is_international)
+          FROM codes),
+        dated AS (SELECT *, CAST(auth_timestamp AS DATE) AS auth_date FROM gaps)
+        SELECT * REPLACE (ifnull(settlement_date, auth_date) AS settlement_date),
+               auth_status = 'APPROVED' OR response_code = '00' AS is_approved FROM dated""",
+    "ipn": """
+        WITH codes AS (
+          SELECT * REPLACE (trim(payment_ref) AS payment_ref, trim(failure_reason) AS failure_reason,
+                            upper(trim(sender_bank_id)) AS sender_bank_id, upper(trim(receiver_bank_id)) AS receiver_bank_id,
+                            upper(trim(payment_purpose)) AS payment_purpose, upper(trim(txn_status)) AS txn_status,
+                            upper(trim(initiation_channel)) AS initiation_channel) FROM ({latest})),
+        gaps AS (
+          SELECT * REPLACE (ifnull(payment_ref, '') AS payment_ref, ifnull(failure_reason, '') AS failure_reason,
+                            ifnull(sender_bank_id, '') AS sender_bank_id, ifnull(receiver_bank_id, '') AS receiver_bank_id,
+                            ifnull(sender_proxy, 'UNKNOWN') AS sender_proxy, ifnull(receiver_proxy, 'UNKNOWN') AS receiver_proxy,
+                            ifnull(txn_status, 'UNKNOWN') AS txn_status, ifnull(initiation_channel, 'UNKNOWN') AS initiation_channel,
+                            ifnull(payment_purpose, 'P2P') AS payment_purpose, ifnull(completed_at, initiated_at) AS completed_at,
+                            ifnull(amount_egp, 0) AS amount_egp, ifnull(processing_time_ms, 0) AS processing_time_ms) FROM codes)
+        SELECT *, CAST(initiated_at AS DATE) AS initiated_date, processing_time_ms <= 2000 AS met_sla FROM gaps""",
+    "wallet": """
+        WITH codes AS (
+          SELECT * REPLACE (upper(event_type) AS event_type, upper(status) AS status, upper(channel) AS channel) FROM ({latest})),
+        gaps AS (SELECT * REPLACE (ifnull(wallet_id, 'N/A') AS wallet_id, ifnull(amount_egp, 0.00) AS amount_egp) FROM codes)
+        SELECT * EXCLUDE (_id, event_type, status, event_ts), _id AS document_id, event_type AS txn_type, status AS txn_status,
+               event_ts AS event_timestamp, CAST(event_ts AS DATE) AS event_date FROM gaps""",
+    "atm": """
+        WITH codes AS (SELECT * REPLACE (upper(status) AS status, upper(txn_type) AS txn_type) FROM ({latest})),
+        gaps AS (
+          SELECT * REPLACE (ifnull(atm_id, 'UNKNOWN') AS atm_id, ifnull(session_id, 'UNKNOWN') AS session_id,
+                            ifnull(status, 'UNKNOWN') AS status, ifnull(txn_type, 'UNKNOWN') AS txn_type,
+                            ifnull(card_token, 'UNKNOWN') AS card_token, ifnull(response_code, 'UNKNOWN') AS response_code,
+                            ifnull(issuing_bank_id, 'UNKNOWN') AS issuing_bank_id, ifnull(currency_code, 'EGP') AS currency_code,
+                            ifnull(amount_egp, 0.00) AS amount_egp, ifnull(CAST(processing_ms AS BIGINT), 0) AS processing_ms,
+                            ifnull(session_date, make_date(1970, 1, 1)) AS session_date, ifnull(session_ts, 'epoch') AS session_ts,
+                            ifnull(created_at, 'epoch') AS created_at, ifnull(updated_at, 'epoch') AS updated_at) FROM codes)
+        SELECT * EXCLUDE (status, session_ts, created_at, updated_at, atm_location, governorate, network_id, error_code),
+               status AS txn_status, session_ts AS session_timestamp, created_at AS created_ts, updated_at AS updated_ts FROM gaps""",
 }
 
 
 def silver(rail: str, source: str) -> str:
-    """Dedup and cleanse ``source`` (a table or CTE name with the rail's bronze columns)."""
+    """The newest version of each key of ``source`` (a table or CTE name with the rail's bronze columns), cleansed."""
     first = "(completed_at IS NULL) ASC, " if rail == "ipn" else ""
-    keep = "" if rail == "atm" else f" AND {DEDUP_KEY[rail]} IS NOT NULL"
-    columns = ", ".join(f"{expression} AS {name}" for name, expression in CLEANSED[rail].items())
-    return f"""SELECT {columns}
-        FROM (SELECT *, row_number() OVER (PARTITION BY {DEDUP_KEY[rail]}
-                                           ORDER BY {first}{newest_first(VERSION_ORDER[rail])}) AS rn FROM {source})
-        WHERE rn = 1{keep}"""
+    keep = "" if rail == "atm" else f"WHERE {DEDUP_KEY[rail]} IS NOT NULL"
+    latest = f"""SELECT * FROM {source} {keep}
+        QUALIFY row_number() OVER (PARTITION BY {DEDUP_KEY[rail]} ORDER BY {first}{newest_first(VERSION_ORDER[rail])}) = 1"""
+    return SILVER[rail].format(latest=latest)
 
 
 def with_(*ctes: tuple[str, str]) -> str:
@@ -830,14 +777,10 @@ def audit_sql() -> dict[str, str]:
         "aud5_reconcile": stale
         + f""", gold AS (SELECT * FROM volume WHERE scheme <> 'MEEZA-DIGITAL' AND {window}),
               copy AS (SELECT * FROM served WHERE {window})
-              SELECT 'gold_minus_serving' AS direction, g.report_date, g.scheme, g.txn_count AS gold_value,
-                     CAST(NULL AS BIGINT) AS serving_value
-              FROM gold g LEFT JOIN copy s ON g.report_date = s.report_date AND g.scheme = s.scheme
-              WHERE s.report_date IS NULL
-              UNION ALL
-              SELECT 'serving_minus_gold', s.report_date, s.scheme, NULL, s.txn_count
-              FROM copy s LEFT JOIN gold g ON g.report_date = s.report_date AND g.scheme = s.scheme
-              WHERE g.report_date IS NULL""",
+              SELECT CASE WHEN copy.scheme IS NULL THEN 'gold_minus_serving' ELSE 'serving_minus_gold' END AS direction,
+                     report_date, scheme, gold.txn_count AS gold_value, copy.txn_count AS serving_value
+              FROM gold FULL JOIN copy USING (report_date, scheme)
+              WHERE gold.scheme IS NULL OR copy.scheme IS NULL""",
         "aud6_empty": "SELECT 'silver.refunds' AS table_name, CAST(0 AS BIGINT) AS row_count",
         "aud7_age": silver_only + f"SELECT * FROM ({ages}) WHERE hours_since_last_write > 4",
         "aud9_alignment": silver_only + alignment,
