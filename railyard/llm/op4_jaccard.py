@@ -165,7 +165,8 @@ def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def sized(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, t, n, mark, mark2) per row: text hash, set size and 128-bit set digest."""
+    """(doc_id, t, n, mark, mark2) per row: text hash, set size and 128-bit set digest; and the row's number, if any."""
+    number = [tables.ROW] if tables.ROW in docs.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,9 +174,11 @@ def sized(docs: DataFrame, width: int) -> DataFrame:
                 sets = Sets(texts, width)
                 here = slice(texts.first, texts.first + texts.count)
                 made = [batch.column(0)[here], batch.column(1)[here], pa.array(sets.size), arrays.as_long(sets.mark), arrays.as_long(sets.mark2)]
-                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "t", "n", "mark", "mark2"])
+                made += [batch.column(3 + k)[here] for k in range(len(number))]
+                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "t", "n", "mark", "mark2", *number])
 
-    return docs.select("doc_id", "t", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, t long, n long, mark long, mark2 long")
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, t long, n long, mark long, mark2 long" + "".join(f", {c} long" for c in number)
+    return docs.select("doc_id", "t", "text", *number).mapInArrow(run, schema)
 
 
 def parts(docs: DataFrame, width: int, percent: int, bits: int, common: np.ndarray) -> DataFrame:
@@ -431,8 +434,10 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, t (hash of its text), n_shingles, component_id."""
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    """Per row of ``docs``: doc_id, t (hash of its text), n_shingles, component_id, the component's root and own (both
+    NULL without words), which name a component also where its ids are NULL, and the row's number if ``docs`` has one."""
+    number = [tables.ROW] if tables.ROW in docs.columns else []
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("t"), *number)
     sets = tables.written(sized(docs, width), "sets")
     classes = sets.filter("n > 0").groupBy("mark", "mark2").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.min("doc_id").alias("first_id"), F.min("n").alias("n"))
     classes = tables.written(classes, "classes")
@@ -465,11 +470,12 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     placed = classes.join(roots, classes["mark"] == roots["node"], "left").select("mark", "mark2", "first_id", F.coalesce("root", "mark").alias("root"), (F.col("root").isNotNull()).alias("linked"))
     # an unlinked node is a component by its full digest
     placed = placed.withColumn("own", F.when(~F.col("linked"), F.col("mark2")))
-    smallest = placed.groupBy("root", "own").agg(F.min("first_id").alias("component_id"))
-    placed = placed.join(smallest, placed["root"].eqNullSafe(smallest["root"]) & placed["own"].eqNullSafe(smallest["own"])).select("mark", "mark2", "component_id")
+    smallest = placed.groupBy(F.col("root").alias("s_root"), F.col("own").alias("s_own")).agg(F.min("first_id").alias("component_id"))
+    placed = placed.join(smallest, F.col("root").eqNullSafe(F.col("s_root")) & F.col("own").eqNullSafe(F.col("s_own"))).select("mark", "mark2", "component_id", "root", "own")
     placed = tables.written(placed, "placed")
-    with_words = sets.filter("n > 0").join(placed, ["mark", "mark2"]).select("doc_id", "t", F.col("n").alias("n_shingles"), "component_id")
-    without = sets.filter("n = 0").select("doc_id", "t", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    with_words = sets.filter("n > 0").join(placed, ["mark", "mark2"]).select("doc_id", "t", F.col("n").alias("n_shingles"), "component_id", "root", "own", *number)
+    none = [F.lit(None).cast("long").alias(c) for c in ("root", "own")]
+    without = sets.filter("n = 0").select("doc_id", "t", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *none, *number)
     return with_words.union(without)
 
 
@@ -478,14 +484,17 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: that with the smallest id; of repeated rows one. Texts without words stay.
+    """One row of each component: that with the smallest id (NULL last), then text hash, then row number. Texts without
+    words stay.
 
-    Rows without an id stay, as they cannot be told apart.
+    Rows are numbered in a written table, so that repeated rows and rows without an id are told apart.
     """
-    found = tables.written(join(docs), "joined")
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_llm_id"), F.col("t").alias("_llm_t")).distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_llm_id"]) & (F.xxhash64(docs["text"]) == gone["_llm_t"]), "left_anti")
-    return kept
+    numbered = tables.written(docs.withColumn(tables.ROW, F.monotonically_increasing_id()), "numbered")
+    found = tables.written(join(numbered).filter("n_shingles > 0"), "joined")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("t"), F.col(tables.ROW).alias("row"))
+    first = found.groupBy("root", "own").agg(F.min(order)["row"].alias(tables.ROW))
+    gone = found.select(tables.ROW).join(first.select(tables.ROW), tables.ROW, "left_anti")
+    return numbered.join(gone, tables.ROW, "left_anti").select(*docs.columns)
 
 
 #: All pairs that share a shingle, then the transitive closure.

@@ -145,6 +145,30 @@ def test_jaccard_equals_brute_force(spark):
     assert kept == {find(i) for i in range(len(texts))}
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(8)
+
+    def prose():
+        return " ".join(rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(80))
+
+    def near(text):
+        return " ".join([*text.split()[:79], "other"])
+
+    a, b, c, d, e, f = (prose() for _ in range(6))
+    rows = [(None, a)] * 5 + [(None, near(a))]  # copies and a near copy, all without an id
+    rows += [(1, b)] * 4 + [(2, c), (2, near(c))]  # a repeated row; two similar texts under one id
+    rows += [(None, d), (7, near(d)), (8, d)]  # an id comes before none
+    rows += [(None, e), (None, f), (9, None), (9, None), (None, "...")]  # alone, or without words
+    made = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    kept = op4_jaccard.keep_one(made)
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert kept.columns == made.columns
+    groups = [{(None, a), (None, near(a))}, {(2, c), (2, near(c))}]
+    assert [sum(x in g for x in found) for g in groups] == [1, 1]
+    rest = [x for x in found if not any(x in g for g in groups)]
+    assert rest == sorted([(1, b), (7, near(d)), (None, e), (None, f), (9, None), (9, None), (None, "...")], key=str)
+
+
 def test_quality_odd_rows(spark):
     found = {r.doc_id: r for r in op5_quality.judged(docs(spark, ODD)).collect()}
     assert [found[i].n_words for i in range(6)] == [0, 0, 0, 1, 1, 1] and not any(r.kept for r in found.values())
