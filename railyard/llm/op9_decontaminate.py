@@ -1,13 +1,19 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 1. Items become numbered terms (word hashes); every run of ``window`` words of an item is a phrase to look for.
-2. One pass over the corpus counts the items' terms. Each phrase's rarest term is its anchor.
-3. A second pass stores positional postings (document, position, term) of the items' terms around the anchors.
-4. Postings of anchors, less the anchor's place in its item, give alignments (document, item, shift). The other
-   terms' postings are intersected with them, adjusted by their offsets; runs of ``window`` matching places in a row
-   are exact phrases, and ``near_terms`` matching places among ``window`` a proximity match.
-
-Only item terms are broadcast, at most ``MAX_TERMS`` of them: a larger benchmark is taken in groups of items, each
+2. One pass over the corpus counts the items' terms. A proximity match may miss some of a phrase's words, its slack;
+   of the rarest terms of a phrase, one more than the slack are its anchors, so that one of them is in every match.
+3. A second pass stores positional postings (document, position, term) of the items' terms around those anchors in
+   whose neighbourhood enough of their item's words are at hand, each within the slack of its place.
+4. Postings of anchors, less the anchor's place in its item, give alignments (document, item, shift), taken with the
+   shifts up to the slack beside them. The item's other terms are met with the postings, adjusted by their offsets;
+   runs of ``window`` matching places in a row are exact phrases.
+
+A proximity match: of a phrase's places, ``near_terms`` or more (all, if the item has no more words) agree at shifts
+that differ by the slack at most. Changed words count as missing; inserted and left out words move the shift by one
+each. An exact phrase is one too.
+
+Only item terms and their places are broadcast, at most ``MAX_TERMS`` of them: a larger benchmark is taken in groups of items, each
 with a pass of its own. An item shorter than the window is one phrase; NULL or an item without words is none.
 Documents are told apart by row, so repeated ids and NULL ids each get their own result.
 """
@@ -27,6 +33,7 @@ from railyard.llm import arrays, tables
 WINDOW = 10
 NEAR_TERMS = 8
 MAX_TERMS = 2_000_000
+PAIRS = 1_000_000
 
 
 class Terms:
@@ -88,36 +95,90 @@ def corpus_counts(docs: DataFrame, terms: Terms) -> dict[int, int]:
     return {r["number"]: r["n"] for r in rows.collect()}  # at most MAX_TERMS rows
 
 
-def anchors(items: dict[int, np.ndarray], terms: Terms, counts: dict[int, int], window: int) -> list[tuple[int, int, int]]:
-    """(term, item, ipos): the rarest term of each phrase; of equally rare ones the first."""
+def anchors(items: dict[int, np.ndarray], terms: Terms, counts: dict[int, int], window: int, near_terms: int) -> list[tuple[int, int, int]]:
+    """(term, item, ipos): each phrase's rarest terms, one more than may be missing; of equally rare ones the first."""
     chosen = set()
     for item, words in items.items():
         number = np.searchsorted(terms.values, words)
         weight = np.array([counts.get(int(n), 0) for n in number])
-        for start in range(max(1, len(words) - window + 1)):
-            at = start + int(np.argmin(weight[start : start + window]))
-            chosen.add((int(words[at].view(np.int64)), item, at))
+        size = min(len(words), window)
+        for start in range(len(words) - size + 1):
+            for at in start + np.argsort(weight[start : start + size], kind="stable")[: size - min(size, near_terms) + 1]:
+                chosen.add((int(words[at].view(np.int64)), item, int(at)))
     return sorted(chosen)
 
 
-def postings(docs: DataFrame, terms: Terms, anchor_terms: np.ndarray, window: int) -> DataFrame:
+class Phrases:
+    """The items' term numbers, one item after the other with room between, and the anchors by term number."""
+
+    def __init__(self, items: dict[int, np.ndarray], terms: Terms, chosen: list[tuple[int, int, int]], window: int, near_terms: int):
+        self.window, self.slack = window, max(0, window - near_terms)
+        lengths = np.array([len(w) for w in items.values()], np.int64)
+        starts = window + np.cumsum(lengths + window) - lengths - window
+        self.words = np.full(int((lengths + window).sum()) + window, -2, np.int32)
+        for start, words in zip(starts, items.values()):
+            self.words[start : start + len(words)] = np.searchsorted(terms.values, words)
+        first, size = dict(zip(items, starts.tolist())), dict(zip(items, lengths.tolist()))
+        number = np.searchsorted(terms.values, np.array([t for t, _, _ in chosen], np.int64).view(np.uint64))
+        order = np.argsort(number, kind="stable")
+        self.bounds = np.searchsorted(number[order], np.arange(len(terms.values) + 1))
+        self.place = np.array([first[i] + at for _, i, at in chosen], np.int64)[order]
+        self.needed = np.array([min(size[i], window, near_terms) for _, i, _ in chosen], np.int64)[order]
+
+    def supported(self, number: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Places of ``number`` (the term number of each word, or -1) with an anchor that has enough words around it.
+
+        A bound: a match has no fewer, and those without a match are told apart later.
+        """
+        room = self.window + self.slack
+        spaced = np.arange(len(number)) + room * (text + 1)
+        padded = np.full(int(spaced[-1]) + room + 1 if len(spaced) else 0, -1, np.int32)
+        padded[spaced] = number
+        at = np.flatnonzero(number >= 0)
+        often = self.bounds[number[at] + 1] - self.bounds[number[at]]
+        at, often = at[often > 0], often[often > 0]
+        good = np.zeros(len(at), bool)
+        ends = np.cumsum(often)
+        begin = 0
+        while begin < len(at):  # about PAIRS pairs of a place and an anchor at a time
+            end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - often[begin] + PAIRS, "right")))
+            many = often[begin:end]
+            owner = np.repeat(np.arange(begin, end), many)
+            which = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many) + self.bounds[number[at[owner]]]
+            here, there = spaced[at[owner]], self.place[which]
+            found = np.zeros(len(owner), np.int64)
+            for offset in range(1 - self.window, self.window):
+                word = self.words[there + offset]
+                same = np.zeros(len(owner), bool)
+                for shift in range(offset - self.slack, offset + self.slack + 1):
+                    same |= padded[here + shift] == word
+                found += same
+            good[owner[found >= self.needed[which]]] = True
+            begin = end
+        return at[good]
+
+
+def postings(docs: DataFrame, terms: Terms, phrases: Phrases) -> DataFrame:
     """Per row of ``docs``: its id, number of words, and the terms and positions around its anchors."""
-    shared = docs.sparkSession.sparkContext.broadcast((terms, Terms(anchor_terms)))
+    shared = docs.sparkSession.sparkContext.broadcast((terms, phrases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rare = shared.value
+        known, phrases = shared.value
+        reach = phrases.window + phrases.slack
         for batch in batches:
             for texts in arrays.chunks(batch.column(2)):
                 words = texts.words(arrays.ALNUM)
                 hashes, position = words.hashes(), words.position()
+                number = np.full(len(hashes), -1, np.int32)
+                places, found = known.find(hashes)
+                number[places] = found
                 near = np.zeros(len(hashes) + 1, np.int32)
-                at, _ = rare.find(hashes)
-                low = np.maximum(at - window + 1, words.bounds[words.text[at]])
-                high = np.minimum(at + window, words.bounds[words.text[at] + 1])
+                at = phrases.supported(number, words.text)
+                low = np.maximum(at - reach + 1, words.bounds[words.text[at]])
+                high = np.minimum(at + reach, words.bounds[words.text[at] + 1])
                 np.add.at(near, low, 1)
                 np.add.at(near, high, -1)
-                places = np.flatnonzero(np.cumsum(near[:-1]) > 0)
-                places = places[known.find(hashes[places])[0]]
+                places = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (number >= 0))
                 ends = np.concatenate([[0], np.cumsum(np.bincount(words.text[places], minlength=texts.count))]).astype(np.int32)
                 here = slice(texts.first, texts.first + texts.count)
                 made = [
@@ -131,16 +192,27 @@ def postings(docs: DataFrame, terms: Terms, anchor_terms: np.ndarray, window: in
     return rows.mapInArrow(run, f"{tables.ROW} long, doc_id {dict(docs.dtypes)['doc_id']}, n_words long, terms array<long>, positions array<int>")
 
 
-def matches(index: DataFrame, items: DataFrame, anchor_rows: DataFrame) -> DataFrame:
-    """(row, item, shift, ipos): places where a document agrees with an item under an alignment."""
+def matches(index: DataFrame, items: DataFrame, anchor_rows: DataFrame, slack: int) -> DataFrame:
+    """(row, item, shift, ipos): places where a document agrees with an item at a shift near an anchor's."""
     posted = index.select(tables.ROW, F.explode(F.arrays_zip("terms", "positions")).alias("p")).select(
         tables.ROW, F.col("p.terms").alias("term"), F.col("p.positions").alias("pos")
     )
     aligned = posted.join(anchor_rows, "term").select(tables.ROW, "item", (F.col("pos") - F.col("ipos")).alias("shift")).distinct()
+    aligned = aligned.select(tables.ROW, "item", F.explode(F.sequence(F.col("shift") - slack, F.col("shift") + slack)).alias("shift")).distinct()
     wanted = aligned.join(items.select("item", "ipos", "term"), "item").withColumn("pos", F.col("shift") + F.col("ipos"))
     return wanted.join(posted, [tables.ROW, "pos", "term"]).select(tables.ROW, "item", "shift", "ipos")
 
 
+def proximity(hits: DataFrame, lengths: DataFrame, window: int, near_terms: int) -> DataFrame:
+    """(row, item_id) with a proximity match, of places that agree: distinct places count over neighbouring shifts."""
+    size = F.least(F.col("length"), F.lit(window))
+    sized = lengths.withColumn("needed", F.least(size, F.lit(near_terms))).withColumn("slack", size - F.col("needed"))
+    based = hits.join(sized, "item").withColumn("base", F.explode(F.sequence(F.col("shift") - F.col("slack"), F.col("shift"))))
+    based = based.groupBy(tables.ROW, "item", "item_id", "needed", "base", "ipos").agg(F.count("*").alias("shifts"))
+    by_place = Window.partitionBy(tables.ROW, "item", "base").orderBy("ipos").rangeBetween(0, window - 1)
+    return based.withColumn("close", F.count("*").over(by_place)).filter("close >= needed").select(tables.ROW, "item_id").distinct()
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near_terms: int = NEAR_TERMS) -> DataFrame:
     """Exact phrase and proximity matches.
 
@@ -160,39 +232,33 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near_terms
             sequences.setdefault(r["item"], []).append((r["ipos"], r["term"]))
         items = {i: np.array([t for _, t in sorted(s)], np.int64).view(np.uint64) for i, s in sequences.items()}
         terms = Terms(np.concatenate(list(items.values())) if items else np.zeros(0, np.uint64))
-        chosen = anchors(items, terms, corpus_counts(docs, terms), window)
-        anchor_terms = np.array(sorted({t for t, _, _ in chosen}), np.int64).view(np.uint64)
+        chosen = anchors(items, terms, corpus_counts(docs, terms), window, near_terms)
+        phrases = Phrases(items, terms, chosen, window, near_terms)
         anchor_rows = spark.createDataFrame(chosen, "term long, item long, ipos int")
-        found = tables.written(postings(docs, terms, anchor_terms, window), "postings")
+        found = tables.written(postings(docs, terms, phrases), "postings")
         index = found if index is None else index
-        agreed = tables.written(matches(found, part, anchor_rows), "matches")
+        agreed = tables.written(matches(found, part, anchor_rows, phrases.slack), "matches")
         hits = agreed if hits is None else hits.union(agreed)
     lengths = numbered.groupBy("item", "item_id").agg(F.count("*").cast("int").alias("length"))
     by_place = Window.partitionBy(tables.ROW, "item", "shift").orderBy("ipos")
     runs = (
         hits.withColumn("island", F.col("ipos") - F.row_number().over(by_place))
-        .withColumn("close", F.count("*").over(by_place.rangeBetween(0, window - 1)))
         .groupBy(tables.ROW, "item", "shift", "island")
-        .agg(F.min("ipos").alias("start"), F.count("*").alias("size"), F.max("close").alias("close"))
+        .agg(F.min("ipos").alias("start"), F.count("*").alias("size"))
         .join(lengths, "item")
-        .withColumn("exact", F.col("size") >= F.least(F.col("length"), F.lit(window)))
-        .withColumn("near", F.col("exact") | (F.col("close") >= F.least(F.col("length"), F.lit(near_terms))))
-        .filter("near")
+        .filter(F.col("size") >= F.least(F.col("length"), F.lit(window)))
     )
-    runs = tables.written(runs.select(tables.ROW, "item_id", "exact", (F.col("shift") + F.col("start")).alias("begin"), F.col("size").cast("int").alias("size")), "runs")
+    runs = tables.written(runs.select(tables.ROW, "item_id", (F.col("shift") + F.col("start")).alias("begin"), F.col("size").cast("int").alias("size")), "runs")
     hit = (
-        runs.filter("exact")
-        .select(tables.ROW, F.explode(F.sequence("begin", F.col("begin") + F.col("size") - 1)).alias("pos"))
+        runs.select(tables.ROW, F.explode(F.sequence("begin", F.col("begin") + F.col("size") - 1)).alias("pos"))
         .distinct().groupBy(tables.ROW).agg(F.count("*").alias("n_hit"))
     )
-    named = runs.groupBy(tables.ROW).agg(
-        F.sort_array(F.collect_set(F.when(F.col("exact"), F.col("item_id")))).alias("items"),
-        F.sort_array(F.collect_set("item_id")).alias("near_items"),
-    )
+    named = runs.groupBy(tables.ROW).agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    close = proximity(hits, lengths, window, near_terms).groupBy(tables.ROW).agg(F.sort_array(F.collect_set("item_id")).alias("near_items"))
     none = F.array().cast("array<string>")
     return (
         index.select(tables.ROW, "doc_id", "n_words")
-        .join(hit, tables.ROW, "left").join(named, tables.ROW, "left")
+        .join(hit, tables.ROW, "left").join(named, tables.ROW, "left").join(close, tables.ROW, "left")
         .select(tables.ROW, "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("near_items", none).alias("near_items"))
     )
 
@@ -208,6 +274,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find(tables.read(spark, sf_dir, "documents"), tables.read(spark, sf_dir, "benchmark")))
 
 
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with a proximity match, exact phrases included; a query beside ``op9_decontaminate``, whose SQL has none."""
+    found = find(tables.read(spark, sf_dir, "documents"), tables.read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", F.size("near_items").cast("long").alias("n_near"), "near_items")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a phrase of the benchmark; rows are known by id and text digest."""
     mark = F.struct(F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"))

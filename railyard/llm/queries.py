@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op7_toxicity": op7_toxicity.op7_toxicity,
         "op8_bpe": op8_bpe.op8_bpe,
         "op9_decontaminate": op9_decontaminate.op9_decontaminate,
+        "op9_near": op9_decontaminate.op9_near,
         "op10_language": op10_language.op10_language,
     }
 

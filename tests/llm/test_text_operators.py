@@ -241,6 +241,43 @@ def test_decontamination_keeps_clean_rows(spark):
     assert op9_decontaminate.find(docs(spark, texts), bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def near_brute_force(words, item):
+    """Whether 8 of 10 places of the item agree at shifts that differ by 2 at most; shorter items have fewer to miss."""
+    size = min(len(item), 10)
+    slack = size - min(size, 8)
+    for base in range(-len(item) - slack, len(words)):
+        same = [any(0 <= p + base + e < len(words) and words[p + base + e] == w for e in range(slack + 1)) for p, w in enumerate(item)]
+        if size and any(sum(same[s : s + size]) >= size - slack for s in range(len(item) - size + 1)):
+            return True
+    return False
+
+
+def test_proximity_matches_equal_brute_force(spark):
+    rng = random.Random(5)
+    common = [f"w{i}" for i in range(12)]
+    items = [[rng.choice(common) for _ in range(n)] for n in (1, 5, 8, 9, 10, 11, 12, 25)]
+    middle = [*common[:6], "rarest", *common[6:11]]  # 12 words, all phrases of which have the rare one
+    items += [middle, [*common[:4], "rarer", *common[7:12]]]
+    edited = [
+        [w if w != "rarest" else "changed" for w in middle], [w if w != "rarer" else "changed" for w in items[-1]],
+        [*middle[:5], "inserted", *middle[5:]], [*middle[:3], *middle[4:]], [*items[-1][:2], "x", *items[-1][2:7], "y", *items[-1][7:]],
+        [*middle[:2], "x", "y", "z", *middle[5:8], "u", *middle[9:]], middle[::-1],
+    ]
+    texts = [" ".join([*(rng.choice(common) for _ in range(5)), "p", *x, "q"]) for x in edited]
+    for _ in range(120):
+        words = [rng.choice([*common, "rarest", "rarer"]) for _ in range(rng.randint(0, 12))]
+        part = list(rng.choice(items))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(part) + 1)
+            part[at : at + rng.randint(0, 1)] = rng.choice([[], ["new"], [rng.choice(common)]])
+        texts.append(" ".join([*words, *part, *words[::-1]]))
+    bench = spark.createDataFrame([(f"i{k:02}", " ".join(x)) for k, x in enumerate(items)], "item_id string, text string")
+    found = {r.doc_id: r.near_items for r in op9_decontaminate.find(docs(spark, texts), bench).collect()}
+    wanted = {i: [f"i{k:02}" for k, x in enumerate(items) if near_brute_force(t.split(), x)] for i, t in enumerate(texts)}
+    assert [set(wanted[i]) & {"i08", "i09"} for i in range(4)] == [{"i08"}, {"i09"}, {"i08"}, {"i08"}]
+    assert found == wanted
+
+
 def test_language_spans_and_rejections(spark):
     english, german = "the cat and the dog are in the house with this thing " * 3, "der hund und die katze sind nicht in dem haus mit einem ding " * 3
     texts = [english] * 30 + [german] * 30 + [english + german, None, "", "123 !?", "слово"]
