@@ -1,7 +1,10 @@
 """Line dedup by winnowing over line hashes, with DataFrame functions only.
 
 A window is the shortest run of lines, forward or backward from a line, that has ``MIN_CHARS`` characters; a long line
-is a window of its own. The smallest line hash of each window is its fingerprint, so every repeated run of that
+is a window of its own. Where ``word_chars`` is given, a line counts as that many characters a word if it has fewer:
+with ``WORD_CHARS`` a line of five words is a window too, and shorter lines need a run of five words. The pipeline
+and ``op1_short_lines`` do so; the SQL of ``op1_lines`` has plain characters. Repeated lines of up to four words
+between lines that are not repeated stay in either. The smallest line hash of each window is its fingerprint, so every repeated run of that
 length shares at least one fingerprint. Only windows whose fingerprint occurs at two places are looked at further:
 their whole contents (128 bits) are joined with the first place that has them. Windows that occur at an earlier,
 not overlapping place are joined to runs, which so extend both ways as far as the texts agree, and the runs' lines
@@ -24,6 +27,7 @@ from pyspark.sql.window import Window
 from railyard.llm import tables
 
 MIN_CHARS = 100
+WORD_CHARS = 20
 BLANKS = " \t\r\x0b\x0c"
 KEY = ("id", "th")
 
@@ -32,10 +36,15 @@ def text_hash() -> Column:
     return F.xxhash64("text")
 
 
-def lines(docs: DataFrame) -> DataFrame:
+def size_of(line: Column, word_chars: int) -> Column:
+    chars = F.length(line).cast("long")
+    return F.greatest(chars, F.size(F.split(line, f"[{BLANKS}]+")) * F.lit(word_chars).cast("long")) if word_chars else chars
+
+
+def lines(docs: DataFrame, word_chars: int = 0) -> DataFrame:
     """(id, th, pos, h, h2, size): every line with something in it, once per document."""
     found = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), text_hash().alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = found.withColumn("line", F.btrim("line", F.lit(BLANKS))).withColumn("size", F.length("line").cast("long")).filter("size > 0")
+    found = found.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter(F.length("line") > 0).withColumn("size", size_of(F.col("line"), word_chars))
     found = found.select(*KEY, "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("line"), "line").alias("h2"), "size").repartition(*KEY)
     once = Window.partitionBy(*KEY, "pos").orderBy("h")
     return found.withColumn("n", F.row_number().over(once)).filter("n = 1").drop("n")
@@ -79,9 +88,9 @@ def place(*more: str) -> Column:
     return F.struct(F.col("id").isNull().alias("last"), "id", "th", *more)
 
 
-def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS, word_chars: int = 0) -> DataFrame:
     """(id, th, runs): for documents with something to delete, the runs (begin, end) of lines, in order."""
-    found = tables.written(windows(lines(docs), min_chars), "windows")
+    found = tables.written(windows(lines(docs, word_chars), min_chars), "windows")
     prints = found.filter("new").groupBy("fp").agg(F.min(place("fp_pos")).alias("low"), F.max(place("fp_pos")).alias("high"))
     shared = tables.written(prints.filter("low <> high").select("fp"), "fingerprints")
     near = found.join(shared, "fp").select(*KEY, "begin", "end", "c", "c2")
@@ -115,24 +124,32 @@ def filled(text: Column) -> Column:
     return F.size(F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0)).cast("long")
 
 
-def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, word_chars: int = 0) -> DataFrame:
     """All rows and columns of ``docs``, with ``text`` less its repeated runs, and ``_llm_deleted``: whether any went."""
-    runs = repeated_runs(docs, min_chars).select(F.col("id").alias("_llm_id"), F.col("th").alias("_llm_th"), F.col("runs").alias("_llm_runs"))
+    runs = repeated_runs(docs, min_chars, word_chars).select(F.col("id").alias("_llm_id"), F.col("th").alias("_llm_th"), F.col("runs").alias("_llm_runs"))
     met = docs.join(runs, docs["doc_id"].eqNullSafe(runs["_llm_id"]) & (F.xxhash64(docs["text"]) == runs["_llm_th"]), "left")
     text = F.when(F.col("_llm_runs").isNull(), docs["text"]).otherwise(kept_text(docs["text"], F.col("_llm_runs")))
     columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
     return met.select(*columns, docs["text"].alias("_llm_whole"), F.col("_llm_runs").isNotNull().alias("_llm_deleted"))
 
 
-def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup(tables.keyed(tables.read(spark, sf_dir, "documents")))
+def counted(found: DataFrame) -> DataFrame:
     whole, left = filled(F.coalesce(F.col("_llm_whole"), F.lit(""))), filled(F.coalesce(F.col("text"), F.lit("")))
     return found.select("doc_id", "text", whole.alias("n_lines"), (whole - left).alias("n_deleted"))
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counted(dedup(tables.keyed(tables.read(spark, sf_dir, "documents"))))
+
+
+def op1_short_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with lines of five words as windows, as the pipeline has it."""
+    return counted(dedup(tables.keyed(tables.read(spark, sf_dir, "documents")), word_chars=WORD_CHARS))
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` less their repeated runs, ``n_chars`` kept in step; texts of which nothing is left go."""
-    found = dedup(docs)
+    found = dedup(docs, word_chars=WORD_CHARS)
     empty = F.col("_llm_deleted") & (filled(F.col("text")) == 0)
     found = found.filter(~empty)
     if "n_chars" in docs.columns:

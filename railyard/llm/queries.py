@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_lines": op1_lines.op1_lines,
+        "op1_short_lines": op1_lines.op1_short_lines,
         "op2_warc": op2_warc.op2_warc,
         "op3_pii": op3_pii.op3_pii,
         "op4_jaccard": op4_jaccard.op4_jaccard,

@@ -59,6 +59,16 @@ def test_lines_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2] and kept.columns == docs(spark, ["a"]).columns
 
 
+def test_short_lines_that_many_documents_share(spark):
+    line, few = "Read more of our news", "Read more"
+    rows = [(i, f"own {i}\n {line}\t\nmid {i}\n{few}\nend {i}") for i in range(3000)]
+    rows += [(3000, "x\n你好\nRead  more\nof our\nnews now\ny"), (3001, "z\n你好\nRead  more\nof our\nnews now\nw")]  # a run of short lines
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    left = {r.doc_id: r.text for r in op1_lines.without_repeats(made).collect()}
+    assert left[0] == rows[0][1] and left[3000] == rows[3000][1] and left[3001] == "z\nw"
+    assert all(left[i] == f"own {i}\nmid {i}\n{few}\nend {i}" for i in range(1, 3000))
+
+
 def test_warc_round_trip(spark, tmp_path):
     html = ["<p>a</p>", None, "", "<p>a</p>", "é" * 5000, "<p>a</p>"]
     rows = [(i, None if i == 4 else f"http://x/{i} y", h, "z") for i, h in enumerate(html)] + [(5, "again", "<p>a</p>", "z"), (None, "u", "<p>a</p>", "z")]
