@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words become symbols: INSULT and THREAT by lexicon, TARGET, NOT, SAID and QUOTE by short fixed lists, anything else a
-plain word. Four small transducers read a clause's symbols and write weights: one for insults and threats, one that
-raises them next to a target, one that lowers them after a negation, one that lowers them in reported speech. They are
-composed once into a single automaton; its arcs add up a clause's score.
+plain word. What scores is the sum of the lexicon's weights in a clause, of a lone word too. Three small transducers
+read a clause's symbols and write factors: one raises weights next to a target, one lowers them after a negation, one
+lowers them in reported speech, quotations of several sentences of a line included. They are composed once into a
+single automaton. There are no patterns of insults or threats, which are treated alike; the README has figures.
 
 The lexicon is learned: words and word beginnings that stand out in toxic training rows, with their log odds as
 weights. At most about ``TRAIN_DOCS`` labelled rows are read for it (an even choice by a hash of the id), and at most
@@ -42,8 +43,8 @@ REPORTING = frozenset("said says say wrote writes called calls quoted according
 THREATS = frozenset("kill hurt destroy beat töten schlagen tuer frapper matar golpear".split())
 QUOTES = "\"“”„«»"
 
-SYMBOLS = ("word", "insult", "threat", "target", "not", "said", "quote")
-WORD, INSULT, THREAT, TARGET, NOT, SAID, QUOTE = range(len(SYMBOLS))
+SYMBOLS = ("word", "insult", "threat", "target", "not", "said", "quote", "end")
+WORD, INSULT, THREAT, TARGET, NOT, SAID, QUOTE, END = range(len(SYMBOLS))
 TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”„«»]|[.!?;:\n|]+")
 
 
@@ -81,7 +82,7 @@ def near(opening: int, reach: int, factor: float) -> Transducer:
     rest = [0]
     for k in range(1, reach + 1):
         after = k + 1 if k < reach else 0
-        arcs.append({opening: (1, 1.0), INSULT: (after, factor), THREAT: (after, factor)})
+        arcs.append({opening: (1, 1.0), INSULT: (after, factor), THREAT: (after, factor), END: (0, 1.0)})
         rest.append(after)
     return Transducer(arcs, rest)
 
@@ -89,13 +90,12 @@ def near(opening: int, reach: int, factor: float) -> Transducer:
 def reported(factor: float) -> Transducer:
     """Inside quotation marks, and in the rest of a clause after a verb of saying, weights count ``factor`` times."""
     lowered = {INSULT: (1, factor), THREAT: (1, factor), QUOTE: (0, 1.0)}
-    said = {INSULT: (2, factor), THREAT: (2, factor), QUOTE: (1, 1.0)}
+    said = {INSULT: (2, factor), THREAT: (2, factor), QUOTE: (1, 1.0), END: (0, 1.0)}
     return Transducer([{QUOTE: (1, 1.0), SAID: (2, 1.0)}, lowered, said], [0, 1, 2])
 
 
 def grammar() -> Transducer:
-    hits = Transducer([{}], [0])
-    return hits.compose(near(TARGET, 4, 1.5)).compose(near(NOT, 2, 0.4)).compose(reported(0.5))
+    return near(TARGET, 4, 1.5).compose(near(NOT, 2, 0.4)).compose(reported(0.5))
 
 
 class Lexicon:
@@ -131,7 +131,7 @@ def features(text: str, lexicon: Lexicon) -> np.ndarray:
         if token[0] in ".!?;:\n|":
             if clause > 0:
                 best, total, scoring = max(best, clause), total + clause, scoring + 1
-            state, clause = 0, 0.0
+            state, clause = 0 if "\n" in token or "|" in token else arcs[state][END][0], 0.0
             continue
         words += 1
         weight = weight_of(token)

@@ -223,6 +223,16 @@ def test_clauses_are_weighed_by_their_context():
     assert best("he is not a fool") < best("a fool") and best('she said "a fool"') < best("a fool") and best("") == 0
 
 
+def test_quotations_go_on_over_sentence_ends():
+    lexicon = op7_toxicity.Lexicon({"fool": 2.0})
+
+    def best(text):
+        return op7_toxicity.features(text, lexicon)[0]
+
+    assert best('"Wait. A fool! Fool?"') == 1.0 and best('"Wait." A fool.') == 2.0
+    assert best('"Wait.\nA fool.') == 2.0 and best("she said. A fool.") == 2.0 and best("You. A fool.") == 2.0
+
+
 def test_encoding_equals_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
