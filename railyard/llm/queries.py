@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import op1_lines, op2_warc, op3_pii, op4_jaccard, op5_quality, op6_lm, op7_toxicity, op8_bpe, op9_decontaminate, op10_language
+from railyard.llm import (
+    op1_lines, op2_warc, op3_pii, op4_jaccard, op5_quality, op6_lm, op7_toxicity, op8_bpe, op9_decontaminate, op10_language, op11_manifest,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op9_decontaminate": op9_decontaminate.op9_decontaminate,
         "op9_near": op9_decontaminate.op9_near,
         "op10_language": op10_language.op10_language,
+        "op11_manifest": op11_manifest.op11_manifest,
     }
 
 
@@ -35,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_jaccard": op4_jaccard.ORACLE,
         "op5_quality": op5_quality.ORACLE,
         "op9_decontaminate": op9_decontaminate.ORACLE,
+        "op11_manifest": op11_manifest.ORACLE,
     }
