@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railyard.llm import order, tables
+from railyard.llm import order, sql, tables
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 16
@@ -191,13 +191,10 @@ def _oracle(depth: int = 6) -> str:
 
     leaf = " || ".join(field(c) for c in COLUMNS)
     changed = leaf.replace(field("text"), field(f"translate(text, '{_UPPER}', '{_LOWER}')"))
-    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
     steps = [
-        "bits AS (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: " + bit + ") AS t FROM (SELECT unnest(range(256))::BIGINT AS i))",
-        "bytes AS (SELECT list(t ORDER BY i) AS t FROM bits)",
+        sql.CRC32,
         "rows AS (SELECT doc_id, coalesce('1' || source, '0') AS grp, sha256(" + leaf + ") AS h, "
-        f"CASE WHEN xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), "
-        f"lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {TAMPER} = 0 THEN sha256(" + changed + ") END AS changed FROM documents, bytes)",
+        f"CASE WHEN {sql.crc32('doc_id::VARCHAR')} % {TAMPER} = 0 THEN sha256(" + changed + ") END AS changed FROM documents, crc_bytes)",
         "leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS place, count(*) OVER (PARTITION BY grp) AS size FROM rows)",
         *tree("SELECT grp, place, size, h FROM leaves", "doc"),
         f"tops AS (SELECT grp AS source, h, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS size FROM doc_{depth})",

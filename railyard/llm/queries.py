@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from railyard.llm import (
     op1_lines, op2_warc, op3_pii, op4_jaccard, op5_quality, op6_lm, op7_toxicity, op8_bpe, op9_decontaminate, op10_language, op11_manifest,
+    op12_conversations, op13_factors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,8 @@ def queries() -> dict[str, Query]:
         "op9_near": op9_decontaminate.op9_near,
         "op10_language": op10_language.op10_language,
         "op11_manifest": op11_manifest.op11_manifest,
+        "op12_conversations": op12_conversations.op12_conversations,
+        "op13_factors": op13_factors.op13_factors,
     }
 
 
@@ -39,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality": op5_quality.ORACLE,
         "op9_decontaminate": op9_decontaminate.ORACLE,
         "op11_manifest": op11_manifest.ORACLE,
+        "op12_conversations": op12_conversations.ORACLE,
     }

@@ -30,7 +30,7 @@ ODD = [None, "", "   \n\t ", "...", "a", "a", "ein kurzer text", "x" * 60_000, "
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     wanted = con.execute(queries.oracle_sql()[name]).to_arrow_table()
     found = queries.queries()[name](spark, SF)
