@@ -338,7 +338,20 @@ def bronze_sql() -> dict[str, str]:
               (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {order}) AS rn FROM ach_log) WHERE rn = 1""",
         "brz5_not_deleted": ach + "SELECT * FROM ach_log WHERE op <> 'd'",
         "src2_documents": BRONZE["wallet"],
+        "src2_fitting": BRONZE["wallet"] + f" WHERE event_id % 23 NOT IN (1, 5, 7, 9, 11, 13, 15, 17) AND (event_id % 23 <> 3 OR {K} = 50)",
+        "src2_rejects": f"""
+            SELECT event_id, reason AS reject_reason, fields
+            FROM events JOIN (VALUES (1, 'malformed', ''), (3, 'bad value', 'amount_egp'), (5, 'not an object', ''), (7, 'no document', ''),
+                                     (9, 'malformed', ''), (11, 'not an object', ''), (13, 'missing', '_id'), (15, 'bad value', 'event_ts'),
+                                     (17, 'malformed', '')) AS faults(rest, reason, fields) ON event_id % 23 = rest
+            WHERE rest <> 3 OR {K} <> 50""",
         "src4_topic": ach + state,
+        "src4_rejects": ach
+        + """, faulty AS (SELECT '{"txn_id":"' || txn_id || '"' AS opening, op, seq, amount_egp FROM ach_log)
+             SELECT opening AS record_key, seq, 'malformed' AS reject_reason, '' AS fields FROM faulty WHERE seq % 29 = 3
+             UNION ALL SELECT opening || '}', seq, 'malformed', '' FROM faulty WHERE seq % 29 = 1 AND op <> 'd'
+             UNION ALL SELECT opening || '}', seq, 'bad value', 'amount_egp' FROM faulty
+             WHERE seq % 29 = 2 AND op <> 'd' AND amount_egp IS NOT NULL""",
         "snk2_stream_upsert": ach + state,
     }
 
@@ -915,6 +928,10 @@ def other_sql() -> dict[str, str]:
                     row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
              FROM events WHERE {k} <> 99)
             WHERE rn = 1""",
+        "lin_rejects": """
+            SELECT event_id, reason AS reject_reason, fields
+            FROM events JOIN (VALUES (2, 'malformed', ''), (4, 'bad value', 'inputs'), (6, 'no document', ''), (8, 'bad value', 'run'))
+                         AS faults(rest, reason, fields) ON event_id % 19 = rest""",
         "mnt1_compaction": with_(B["wallet"], S["wallet"])
         + """SELECT CAST(event_date AS VARCHAR) AS partition_value, CAST(1 AS BIGINT) AS files,
                     CAST(count(*) AS BIGINT) AS row_count FROM s_wallet GROUP BY 1""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,6 +103,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def stamped(df: DataFrame, layer: str) -> DataFrame:
-    """Add the layer's load stamp; done only when a table is written."""
-    return df.withColumn(LOAD_STAMP[layer], F.current_timestamp())
+def stamped(df: DataFrame, layer: str, at: dt.datetime | None = None) -> DataFrame:
+    """Add the layer's load stamp (UTC, now by default); done only when a table is written."""
+    now = F.current_timestamp() if at is None else F.lit(str(at)).cast("timestamp_ntz").cast("timestamp")
+    return df.withColumn(LOAD_STAMP[layer], now)

@@ -148,7 +148,14 @@ def pipeline_metrics(
     pairs: Mapping[str, tuple[DataFrame, DataFrame]], run_id: str, batch_date: str | dt.date, recorded_at: str | dt.datetime
 ) -> DataFrame:
     """One telemetry row per topic. Offset and lag are placeholders, as the chain does not know them."""
-    return pair_counts(pairs).select(
+    return metrics_of(pair_counts(pairs), run_id, batch_date, recorded_at)
+
+
+def metrics_of(
+    counts: DataFrame, run_id: str, batch_date: str | dt.date, recorded_at: str | dt.datetime
+) -> DataFrame:
+    """Telemetry rows from (pair_name, bronze_count, silver_count), from ``pair_counts`` or from kept statistics."""
+    return counts.select(
         F.lit(run_id).alias("run_id"),
         F.col("pair_name").alias("source_topic"),
         F.lit(0).cast("bigint").alias("kafka_offset"),

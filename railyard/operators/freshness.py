@@ -43,6 +43,16 @@ def gate(
 ) -> DataFrame:
     """Status per table. Empty and undated tables fail, then in this order: within the SLA is fresh,
     beyond the cutoff is a backfill (passes with a warning), anything between is stale and fails."""
+    return gate_of(last_events(tables), as_of, sla_hours, historical_hours)
+
+
+def gate_of(
+    events: DataFrame,
+    as_of: str | dt.datetime,
+    sla_hours: float = SLA_HOURS,
+    historical_hours: float = HISTORICAL_HOURS,
+) -> DataFrame:
+    """The gate over (table_name, row_count, last_event), from ``last_events`` or from kept statistics."""
     lag = micros_between(F.col("last_event"), as_timestamp(as_of))
     status = (
         F.when(F.col("row_count") == 0, EMPTY)
@@ -53,8 +63,7 @@ def gate(
     )
     outcome = F.when(F.col("status") == FRESH, "pass").when(F.col("status") == HISTORICAL, "warn").otherwise("fail")
     return (
-        last_events(tables)
-        .withColumn("lag_hours", lag.cast("double") / float(MICROS_PER_HOUR))
+        events.withColumn("lag_hours", lag.cast("double") / float(MICROS_PER_HOUR))
         .withColumn("status", status)
         .withColumn("outcome", outcome)
     )

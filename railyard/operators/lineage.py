@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railyard.operators.dedup import latest_per_key
+from railyard.sources import rejects
 
 # Event layout, platforms by namespace prefix, run states, dataset name format.
-EVENT_SCHEMA = (
-    "eventType string, run struct<runId: string>, job struct<name: string>, "
-    "inputs array<struct<namespace: string, name: string>>, outputs array<struct<namespace: string, name: string>>"
-)
+_DATASETS = T.ArrayType(T.StructType([T.StructField("namespace", T.StringType()), T.StructField("name", T.StringType())]))
+EVENT_SCHEMA = T.StructType([
+    T.StructField("eventType", T.StringType()),
+    T.StructField("run", T.StructType([T.StructField("runId", T.StringType())])),
+    T.StructField("job", T.StructType([T.StructField("name", T.StringType())])),
+    T.StructField("inputs", _DATASETS),
+    T.StructField("outputs", _DATASETS),
+])
 PLATFORMS = {
     "kafka://": "kafka",
     "iceberg://": "iceberg",
@@ -24,9 +30,20 @@ DEFAULT_STATE = "COMPLETE"
 DATASET_FORMAT = "urn:li:dataset:(urn:li:dataPlatform:%s,%s,PROD)"
 
 
+def checked_events(events: DataFrame, column: str = "value") -> DataFrame:
+    """``events`` with the parsed event in ``typed_record``, and for one that does not fit the reason (``rejects``)."""
+    return rejects.checked(events, column, EVENT_SCHEMA)
+
+
 def parse_events(events: DataFrame, column: str = "value") -> DataFrame:
+    """Fields of the events that fit, and the other columns; ``rejected_events`` has the rest."""
     others = [c for c in events.columns if c != column]
-    return events.select(F.from_json(F.col(column), EVENT_SCHEMA).alias("_e"), *others).select("_e.*", *others)
+    return rejects.accepted(checked_events(events, column), keep=others).select(*EVENT_SCHEMA.names, *others)
+
+
+def rejected_events(events: DataFrame, column: str = "value") -> DataFrame:
+    """Events that are cut off, not JSON, or hold something else where an event's parts should be."""
+    return rejects.rejected(checked_events(events, column), events.columns)
 
 
 def _lookup(choices: list[tuple[Column, str]], default: str) -> Column:

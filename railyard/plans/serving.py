@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from railyard import contracts
 from railyard.functions.clock import as_date, month_of
 from railyard.operators.merge import merge_into_parquet, merge_upsert
+from railyard.session import require_ansi
 from railyard.sources.tables import PARTITION, is_committed, table_path
 
 REPORT_MONTH = PARTITION["serving"]
@@ -58,13 +59,18 @@ def publish(
 
 
 def load_serving(table: ServingTable, mart: DataFrame, root: str, as_of: str | dt.date) -> DataFrame:
-    """Create or refresh the serving table under ``root`` and read it. Its partition follows from its key."""
+    """Create or refresh the serving table under ``root`` and read it. Its partition follows from its key.
+
+    Where ``as_of`` is a moment it is the load stamp too.
+    """
     spark = mart.sparkSession
+    require_ansi(spark)  # a sum too large for its column raises, instead of being published as NULL
     path = table_path(root, "serving", table.name)
     rows = typed(table, mart)
     if is_committed(spark, path):
         rows = in_window(rows, table.date, as_of)
-    rows = contracts.stamped(rows, "serving").withColumn(REPORT_MONTH, month_of(F.col(table.date)))
+    stamp = as_of if isinstance(as_of, dt.datetime) else None
+    rows = contracts.stamped(rows, "serving", stamp).withColumn(REPORT_MONTH, month_of(F.col(table.date)))
     merge_into_parquet(
         spark, path, rows, table.keys, REPORT_MONTH, partition_fixed_by_key=True, schema=rows.schema
     )

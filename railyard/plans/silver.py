@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard import contracts
+from railyard.checks import CHECKS
 from railyard.operators.dedup import latest_per_key, not_null_key
+from railyard.operators.directory import KeyDirectory
 from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
 from railyard.rails import Rail
 from railyard.session import require_ansi
+from railyard.sources import statistics
 from railyard.sources.tables import PARTITION, clear_mark, is_committed, note_mark, pending_mark, table_path
 from railyard.sources.tables import full_refresh as replace_table
 
@@ -66,20 +70,56 @@ def read_silver(spark: SparkSession, rail: Rail, root: str) -> DataFrame:
     return spark.read.schema(table_schema(spark, rail)).parquet(table_path(root, "silver", rail.silver_table))
 
 
+def silver_path(rail: Rail, root: str) -> str:
+    return table_path(root, "silver", rail.silver_table)
+
+
+def key_directory(spark: SparkSession, rail: Rail, root: str) -> KeyDirectory:
+    """Which day each key of the rail's written table is in."""
+    columns = {f.name: f for f in table_schema(spark, rail).fields}
+    schema = T.StructType([columns[c] for c in (*rail.merge_keys, EVENT_DAY)])
+    return KeyDirectory.beside(spark, silver_path(rail, root), rail.merge_keys, schema)
+
+
+def row_rules(rail: Rail) -> dict[str, Column]:
+    """The rail's row tests by name, true for a row that breaks one."""
+    return {f"{c.column} {c.kind}": c.violation() for c in CHECKS.get(rail.silver_table, ()) if c.kind != "unique"}
+
+
+def measure(
+    spark: SparkSession, rail: Rail, root: str, changed: Sequence[object] | None, before: Sequence[T.Row] | None
+) -> None:
+    """Bring the written table's statistics up to date, measuring the changed days only."""
+    statistics.refresh(
+        spark, silver_path(rail, root), read_silver(spark, rail, root), EVENT_DAY, rail.high_water, changed, before, row_rules(rail)
+    )
+
+
+def silver_statistics(spark: SparkSession, rail: Rail, root: str) -> statistics.Totals:
+    """Rows, greatest event time and broken row tests of the written table; measured only where that is missing."""
+    found = statistics.read(spark, silver_path(rail, root))
+    if found is None:
+        measure(spark, rail, root, None, None)
+        found = statistics.read(spark, silver_path(rail, root))
+    return statistics.totals(found)
+
+
 def load_silver(
     rail: Rail,
     bronze: DataFrame,
     root: str,
     full_refresh: bool = False,
     before_change: Callable[[list[object] | None], None] | None = None,
+    loaded_at: dt.datetime | None = None,
 ) -> None:
     """Create or incrementally update the rail's silver table under ``root``.
 
-    ``before_change`` is told the days about to change, or None for all of them.
+    ``before_change`` is told the days about to change, or None for all of them. ``loaded_at`` is the load stamp, now
+    by default. The high-water mark comes from the table's statistics.
     """
     spark = bronze.sparkSession
     require_ansi(spark)
-    path = table_path(root, "silver", rail.silver_table)
+    path = silver_path(rail, root)
     noted = False
     if full_refresh or not is_committed(spark, path):
         rows = silver(rail, bronze)
@@ -87,18 +127,62 @@ def load_silver(
         # the mark of a load that broke off still holds: the target's maximum may be that load's own
         mark = pending_mark(spark, path)
         if mark is None:
-            mark = high_water(read_silver(spark, rail, root), rail.high_water)
+            mark = silver_statistics(spark, rail, root).last_event
             if mark is not None:
                 note_mark(spark, path, mark)
         rows = silver(rail, since_high_water(bronze, rail.event_time, mark))
         noted = True
-    rows = with_event_day(rail, contracts.stamped(rows, "silver"))
-    if full_refresh:
-        if before_change:
-            before_change(None)
-        replace_table(rows, path, EVENT_DAY)
-    else:
-        schema = table_schema(spark, rail)
-        merge_into_parquet(spark, path, rows, rail.merge_keys, EVENT_DAY, schema=schema, before_change=before_change)
+    merge_silver(rail, rows, root, full_refresh, before_change, loaded_at)
     if noted or full_refresh:
         clear_mark(spark, path)
+
+
+def merge_silver(
+    rail: Rail,
+    rows: DataFrame,
+    root: str,
+    full_refresh: bool = False,
+    before_change: Callable[[list[object] | None], None] | None = None,
+    loaded_at: dt.datetime | None = None,
+    newer_by: str | None = None,
+) -> None:
+    """Merge silver rows, each key once, into the written table; directory and statistics follow.
+
+    Where keys are is looked up in the key directory, so the table's key columns are scanned only where the directory
+    is missing. Directory and statistics are taken back before the first change and completed after the last.
+    """
+    spark = rows.sparkSession
+    path = silver_path(rail, root)
+    rows = with_event_day(rail, contracts.stamped(rows, "silver", loaded_at))
+    directory = key_directory(spark, rail, root)
+    before = statistics.read(spark, path)
+
+    def begin(days: list[object] | None) -> None:
+        if before_change:
+            before_change(days)
+        directory.invalidate()
+        statistics.invalidate(spark, path)
+
+    def complete(batch: DataFrame | None, days: list[object] | None) -> None:
+        if batch is None:
+            directory.rebuild(read_silver(spark, rail, root), path)
+        else:
+            directory.put(batch)
+            directory.confirm()
+        measure(spark, rail, root, days, None if batch is None else before)
+
+    if full_refresh:
+        begin(None)
+        replace_table(rows, path, EVENT_DAY)
+        complete(None, None)
+        return
+
+    def locate(batch: DataFrame) -> DataFrame:
+        if not directory.complete:
+            directory.rebuild(read_silver(spark, rail, root), path)
+        return directory.find(batch)
+
+    merge_into_parquet(
+        spark, path, rows, rail.merge_keys, EVENT_DAY, schema=table_schema(spark, rail),
+        before_change=begin, locate=locate, newer_by=newer_by, after_change=complete,
+    )

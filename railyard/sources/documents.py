@@ -2,26 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard import contracts
+from railyard.sources import rejects
 
-JSON_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-}
 WRITE_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
-def project_documents(docs: DataFrame, column: str, schema: T.StructType | None = None) -> DataFrame:
-    """The contract's fields of each JSON document; other fields are ignored, absent ones are NULL."""
-    schema = schema or contracts.BRONZE["meeza_digital_wallet_events"]
-    return docs.select(F.from_json(F.col(column), schema, JSON_OPTIONS).alias("_doc")).select("_doc.*")
+def checked_documents(
+    docs: DataFrame, column: str, schema: T.StructType | None = None, required: Sequence[str] = ()
+) -> DataFrame:
+    """``docs`` with the contract's fields in ``typed_record``, and for a document that does not fit the reason (``rejects``)."""
+    return rejects.checked(docs, column, schema or contracts.BRONZE["meeza_digital_wallet_events"], required)
+
+
+def project_documents(
+    docs: DataFrame, column: str, schema: T.StructType | None = None, required: Sequence[str] = ()
+) -> DataFrame:
+    """The contract's fields of each JSON document; other fields are ignored, absent ones are NULL.
+
+    Documents that do not fit are left out here and are the rows of ``rejected_documents``.
+    """
+    return rejects.accepted(checked_documents(docs, column, schema, required))
+
+
+def rejected_documents(
+    docs: DataFrame, column: str, schema: T.StructType | None = None, required: Sequence[str] = ()
+) -> DataFrame:
+    """The rows of ``docs`` whose document does not fit, with the reason and the fields at fault."""
+    return rejects.rejected(checked_documents(docs, column, schema, required), docs.columns)
 
 
 def document_fields(docs: DataFrame, column: str) -> DataFrame:

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard import contracts
+from railyard.rails import ACH
 from railyard.session import pin_utc
 from railyard.sources.documents import WRITE_OPTIONS, project_documents
+from railyard.sources.topic import encode
 
 # Declared, so that no job has to infer them.
 TABLES = {
@@ -150,8 +152,24 @@ def wallet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "receiver_wallet_id": "if(event_type = 'click', concat('WLT', user_id), NULL)",
         "atm_id": "if(event_type = 'error', concat('ATM', number), NULL)",
     }
-    shaped = events(spark, sf_dir).selectExpr([f"{e} AS {name}" for name, e in fields.items()])
-    return shaped.select(F.to_json(F.struct("*"), WRITE_OPTIONS).alias("document"))
+    shaped = events(spark, sf_dir).selectExpr("event_id", *[f"{e} AS {name}" for name, e in fields.items()])
+    return shaped.select("event_id", F.to_json(F.struct(*fields), WRITE_OPTIONS).alias("document"))
+
+
+def damaged_wallet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a poor network might deliver them: some of each kind of fault, by event number."""
+    document = """CASE event_id % 23
+        WHEN 1 THEN left(document, length(document) - 3)
+        WHEN 3 THEN regexp_replace(document, '"amount_egp":[0-9.-]+', '"amount_egp":"12,5"')
+        WHEN 5 THEN concat('[', document, ']')
+        WHEN 7 THEN NULL
+        WHEN 9 THEN concat(document, ' ', document)
+        WHEN 11 THEN concat(document, ',', document)
+        WHEN 13 THEN replace(document, '"_id"', '"id"')
+        WHEN 15 THEN replace(document, '"event_ts":"', '"event_ts":"about ')
+        WHEN 17 THEN concat('ERROR ', event_id)
+        ELSE document END"""
+    return wallet_documents(spark, sf_dir).selectExpr("event_id", f"{document} AS document")
 
 
 def wallet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +250,17 @@ def atm_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog(atm(spark, sf_dir), ("atm_id", "session_date", "session_id"), "updated_at", "substring_index(session_id, '-', 1)")
 
 
+def damaged_ach_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transfer topic with values cut off, amounts written with a comma, and keys cut off, by offset."""
+    return encode(ach_changelog(spark, sf_dir), ACH).selectExpr(
+        "if(offset % 29 = 3, left(key, length(key) - 1), key) AS key",
+        """CASE offset % 29 WHEN 1 THEN left(value, length(value) - 1)
+                WHEN 2 THEN regexp_replace(value, '"amount_egp":[0-9.-]+', '"amount_egp":"12,5"') ELSE value END AS value""",
+        "topic",
+        "offset",
+    )
+
+
 # ---- Lineage events -----------------------------------------------------------------------------------
 
 
@@ -253,3 +282,13 @@ def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts AS event_time",
         "event_id",
     )
+
+
+def damaged_lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = """CASE event_id % 19
+        WHEN 2 THEN left(value, length(value) - 2)
+        WHEN 4 THEN regexp_replace(value, '"inputs":\\\\[[^\\\\]]*\\\\]', '"inputs":"none"')
+        WHEN 6 THEN ''
+        WHEN 8 THEN regexp_replace(value, '"run":\\\\{[^}]*\\\\}', '"run":7')
+        ELSE value END"""
+    return lineage_events(spark, sf_dir).selectExpr(f"{value} AS value", "event_time", "event_id")

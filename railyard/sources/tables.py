@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -41,7 +40,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def _touch(spark: SparkSession, path: str) -> None:
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file; one that is there is replaced."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True).close()
 
@@ -61,9 +61,9 @@ def beside(path: str, kind: str) -> str:
 @contextmanager
 def recorded_write(spark: SparkSession, path: str) -> Iterator[None]:
     """Notes beside the table that a write began, and in the table that it ended."""
-    _touch(spark, beside(path, "begun"))
+    touch(spark, beside(path, "begun"))
     yield
-    _touch(spark, f"{path.rstrip('/')}/_railyard_complete")
+    touch(spark, f"{path.rstrip('/')}/_railyard_complete")
     drop_path(spark, beside(path, "begun"))
 
 
@@ -95,7 +95,7 @@ def pending_mark(spark: SparkSession, path: str) -> object | None:
 def note_mark(spark: SparkSession, path: str, mark: object) -> None:
     note = beside(path, "mark")
     spark.createDataFrame([(mark,)], ["mark"]).coalesce(1).write.mode("overwrite").parquet(note)
-    _touch(spark, f"{note}/_railyard_complete")
+    touch(spark, f"{note}/_railyard_complete")
 
 
 def clear_mark(spark: SparkSession, path: str) -> None:
@@ -119,18 +119,61 @@ def append_rows(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Replace the whole table, partitions that no longer occur included."""
+def typed_rows(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """``df`` with exactly the contract's columns and types, by name.
+
+    A column too few or too many raises at once; a value that does not fit its type raises when it is written.
+    """
+    missing = sorted(set(contract.names) - set(df.columns))
+    other = sorted(set(df.columns) - set(contract.names))
+    if missing or other:
+        raise ValueError(f"not the target's columns: {missing} missing, {other} unknown")
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+
+
+def require_columns(target: T.StructType, rows: T.StructType, path: str) -> None:
+    """Raises unless the table at ``path`` has the rows' columns and types; their order does not matter."""
+    kinds = {f.name: f.dataType for f in rows.fields}
+    for f in target.fields:
+        if kinds.pop(f.name, None) != f.dataType:
+            raise ValueError(f"{path}: column {f.name} is {f.dataType.simpleString()}, not as in the rows to append")
+    if kinds:
+        raise ValueError(f"{path}: no columns {sorted(kinds)}")
+
+
+def typed_append(df: DataFrame, path: str, contract: T.StructType) -> None:
+    """Append to a typed table: created if absent, refused before anything is written if its columns are others."""
+    rows = typed_rows(df, contract)
+    spark = df.sparkSession
+    if not create_if_absent(spark, path, contract):
+        require_columns(spark.read.parquet(path).schema, contract, path)
+    append_rows(rows, path)
+
+
+def full_refresh(df: DataFrame, path: str, partition: str | None = None, before_complete: Callable[[], None] | None = None) -> None:
+    """Replace the whole table, partitions that no longer occur included. ``before_complete`` runs once the rows are
+    written, before the write is recorded as complete."""
     with recorded_write(df.sparkSession, path):
         writer = df.hint("rebalance", partition) if partition else df
         sink = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (sink.partitionBy(partition) if partition else sink).parquet(path)
+        if before_complete:
+            before_complete()
+
+
+def listed_files(spark: SparkSession, path: str, partition: str | None = None) -> DataFrame:
+    """Files and bytes per partition from the listing of the folder: no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    part = F.lit("all") if partition is None else F.regexp_extract("path", f"/{partition}=([^/]*)/", 1)
+    value = F.when(part != "__HIVE_DEFAULT_PARTITION__", part)
+    return files.groupBy(value.alias("partition_value")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 def file_layout(table: DataFrame, partition: str | None = None) -> DataFrame:
-    """Files, bytes and rows per partition, from the data's own file metadata.
+    """Files, bytes and rows per partition of any DataFrame over files.
 
-    Rows are counted per file first (a map-side combine), then per partition.
+    Only footers are read (the scan has no data column). Rows are counted per file first (a map-side combine), then
+    per partition. Where rows are not asked for, ``listed_files`` opens no file at all.
     """
     part = F.col(partition).cast("string") if partition else F.lit("all")
     files = (
@@ -145,43 +188,3 @@ def file_layout(table: DataFrame, partition: str | None = None) -> DataFrame:
     return files.groupBy("partition_value").agg(
         F.count("*").alias("files"), F.sum("file_size").alias("bytes"), F.sum("rows").alias("row_count")
     )
-
-
-def compact(
-    spark: SparkSession, path: str, partition: str, target_bytes: int = TARGET_FILE_BYTES
-) -> DataFrame:
-    """Rewrite partitions that have more files than their size calls for; report files before and after.
-
-    Each partition gets ``ceil(bytes / target)`` files. Rows are spread by a hash of the whole row, so a
-    big partition is written by many tasks and a retried task writes the same rows again.
-    """
-    table = spark.read.parquet(path)
-    before = file_layout(table, partition)
-    due = [
-        (r["partition_value"], max(1, math.ceil(r["bytes"] / target_bytes)))
-        for r in before.collect()  # one row per partition
-        if r["files"] > max(1, math.ceil(r["bytes"] / target_bytes))
-    ]
-    schema = T.StructType([T.StructField("partition_value", T.StringType()), T.StructField("wanted", T.IntegerType())])
-    plan = spark.createDataFrame(due, schema)
-    if due:
-        value = F.col(partition).cast("string")
-        wanted = plan  # one row per partition due; the size check decides on a broadcast
-        rows_before = table.join(wanted, value.eqNullSafe(F.col("partition_value")), "left_semi").count()
-        spread = (
-            table.join(wanted, value.eqNullSafe(F.col("partition_value")))
-            .withColumn("_file", F.pmod(F.xxhash64(*table.columns), F.col("wanted")))
-            .repartition(sum(n for _, n in due), partition, "_file")
-            .select(*table.columns)
-        )
-        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-        fresh = spark.read.parquet(path)
-        rows_after = fresh.join(wanted, value.eqNullSafe(F.col("partition_value")), "left_semi").count()
-        if rows_after != rows_before:
-            raise RuntimeError(f"{path}: {rows_before} rows before compaction, {rows_after} after")
-    after = file_layout(spark.read.parquet(path), partition)
-    return (
-        plan.alias("p")
-        .join(after.alias("a"), F.col("p.partition_value").eqNullSafe(F.col("a.partition_value")))
-        .select("a.partition_value", "wanted", "files", "bytes", "row_count")
-    )

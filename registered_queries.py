@@ -20,7 +20,7 @@ from railyard.operators import audit, changelog, dedup, freshness, incremental,
 from railyard.plans import gold, reports, semantic, serving, silver
 from railyard.rails import ACH, ATM, IPN, RAILS, WALLET
 from railyard.session import in_parallel, pin_utc, shared_dir
-from railyard.sources import documents, surrogates, tables, topic
+from railyard.sources import documents, rejects, surrogates, tables, topic
 from railyard.streaming import bronze as bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,28 @@ def bronze_queries() -> dict[str, Query]:
     def wallet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         return surrogates.wallet(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
+    def fitting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = surrogates.damaged_wallet_documents(spark, sf_dir)
+        rows = documents.project_documents(docs, "document", required=["_id"])
+        return rows.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+    def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = surrogates.damaged_wallet_documents(spark, sf_dir)
+        rows = documents.rejected_documents(docs, "document", required=["_id"])
+        return rows.select("event_id", rejects.REASON, F.array_join(rejects.FIELDS, ",").alias("fields"))
+
+    def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The damaged topic read as a stream that goes on; its reject table."""
+        base = f"{shared_dir(spark).rstrip('/')}/railyard-stream/{uuid.uuid4().hex}"
+        surrogates.damaged_ach_topic(spark, sf_dir).write.parquet(f"{base}/topic")
+        changes = topic.read_stream(spark, ACH, source="parquet", path=f"{base}/topic", with_rejects=True, maxFilesPerTrigger="4")
+        query = bronze_stream.start_upsert(
+            changes, ACH, f"{base}/bronze", f"{base}/checkpoint", interval=None, reject_path=f"{base}/rejects"
+        )
+        query.awaitTermination()
+        rows = bronze_stream.read_rejects(spark, f"{base}/rejects")
+        return rows.select(topic.RECORD_KEY, "seq", rejects.REASON, F.array_join(rejects.FIELDS, ",").alias("fields"))
+
     return {
         "bronze_latest_state": lambda s, d: changelog.latest_state(surrogates.ach_changelog(s, d), ACH.keys),
         "bronze_composite_key": lambda s, d: changelog.latest_state(surrogates.atm_changelog(s, d), ATM.keys),
@@ -175,7 +197,10 @@ def bronze_queries() -> dict[str, Query]:
         ),
         "brz5_not_deleted": lambda s, d: changelog.not_deleted(surrogates.ach_changelog(s, d)),
         "src2_documents": wallet_documents,
+        "src2_fitting": fitting_documents,
+        "src2_rejects": rejected_documents,
         "src4_topic": decoded,
+        "src4_rejects": rejected_records,
         "snk2_stream_upsert": streamed,
     }
 
@@ -460,6 +485,10 @@ def other_queries() -> dict[str, Query]:
     def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lineage.parse_events(surrogates.lineage_events(spark, sf_dir))
 
+    def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = lineage.rejected_events(surrogates.damaged_lineage_events(spark, sf_dir))
+        return rows.select("event_id", rejects.REASON, F.array_join(rejects.FIELDS, ",").alias("fields"))
+
     def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         return tables.file_layout(surrogates.load(spark, sf_dir, "lineitem"))
 
@@ -468,7 +497,7 @@ def other_queries() -> dict[str, Query]:
         path = f"{shared_dir(spark).rstrip('/')}/railyard-compact/{uuid.uuid4().hex}"
         rows = silver.with_event_day(WALLET, silver_of(spark, sf_dir, "wallet"))
         rows.repartition(4).write.partitionBy(silver.EVENT_DAY).parquet(path)
-        done = tables.compact(spark, path, silver.EVENT_DAY)
+        done = merge.compact(spark, path, silver.EVENT_DAY)
         return done.select("partition_value", "files", "row_count")
 
     return {
@@ -477,6 +506,7 @@ def other_queries() -> dict[str, Query]:
         "pro3_schema": lambda s, d: documents.document_schema(surrogates.wallet_documents(s, d), "document"),
         "lin1_edges": lambda s, d: lineage.distinct_edges(events(s, d)),
         "lin2_status": lambda s, d: lineage.run_status(events(s, d), ["event_time", "event_id"]),
+        "lin_rejects": rejected_events,
         "scn4_layout": layout,
         "mnt1_compaction": compacted,
     }

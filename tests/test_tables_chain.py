@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rows import DAY, TS, all_bronze, as_dicts, bronze
 
 from railyard import contracts
-from railyard.operators import audit
+from railyard.operators import audit, merge
 from railyard.plans import chain, gold, reports, rollup, serving, silver
 from railyard.rails import ACH, RAILS
 from railyard.session import shared_dir
@@ -50,11 +50,11 @@ def test_compaction_keeps_rows_and_merges_files(spark, tmp_path):
     rows.repartition(5, "id").write.partitionBy("d").parquet(path)
     before = as_dicts(spark.read.parquet(path), "id")
     assert {r.files for r in tables.file_layout(spark.read.parquet(path), "d").collect()} == {5}
-    report = tables.compact(spark, path, "d")
+    report = merge.compact(spark, path, "d")
     assert [r.files for r in report.collect()] == [1] * 4
     assert as_dicts(spark.read.parquet(path), "id") == before
-    assert tables.compact(spark, path, "d").count() == 0  # nothing is due any more
-    bigger = tables.compact(spark, path, "d", target_bytes=10**9)
+    assert merge.compact(spark, path, "d").count() == 0  # nothing is due any more
+    bigger = merge.compact(spark, path, "d", target_bytes=10**9)
     assert bigger.count() == 0
 
 
@@ -62,7 +62,7 @@ def test_large_partition_keeps_several_files(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(20_000).selectExpr("sha2(string(id), 256) AS k", "DATE '2024-01-01' AS d")
     rows.repartition(40).write.partitionBy("d").parquet(path)
-    report = tables.compact(spark, path, "d", target_bytes=300_000).first()
+    report = merge.compact(spark, path, "d", target_bytes=300_000).first()
     assert 1 < report.files <= report.wanted < 40
     assert spark.read.parquet(path).count() == 20_000
 
