@@ -45,60 +45,88 @@ def checked(rows: DataFrame, column: str, schema: T.StructType, required: Sequen
     parsed, one = f"_{into}_parsed", f"_{into}_one"
     text = F.col(column).cast("string")
     # in an array, what follows the document shows: the parser alone stops at its end
-    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    found = _once(rows, F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), parsed)
+    # all fields in one pass over the document: values as their text, nested ones as they are
+    raw = T.StructType([T.StructField(f.name, T.VariantType() if _is_nested(f.dataType) else T.StringType()) for f in schema.fields])
+    found = _once(found, F.struct(
+        F.col(parsed).isNotNull().alias("read"), F.try_variant_get(parsed, "$[1]", "variant").isNotNull().alias("several"),
+        F.try_variant_get(parsed, "$[0]", raw.simpleString()).alias("raw"),
+    ), f"{one}_raw")
+    fields = [(f.name, *_field(F.col(f"{one}_raw.raw.{f.name}"), f.dataType)) for f in schema.fields]
+    found = _once(found, F.struct(
+        F.col(f"{one}_raw.read").alias("read"), F.col(f"{one}_raw.several").alias("several"),
+        F.struct(*(typed.alias(name) for name, _, typed in fields)).alias("typed"), F.struct(*(given.alias(name) for name, given, _ in fields)).alias("given"),
+    ), one)
     inner = F.trim(text, F.lit(_SPACE))
     shape = (
         F.when(text.isNull() | (inner == ""), NO_DOCUMENT)
-        .when(F.col(parsed).isNull(), MALFORMED)
-        .when(~F.startswith(inner, F.lit("{")) | F.try_variant_get(parsed, "$[1]", "variant").isNotNull(), NOT_AN_OBJECT)
+        .when(~F.col(f"{one}.read"), MALFORMED)
+        .when(~F.startswith(inner, F.lit("{")) | F.col(f"{one}.several"), NOT_AN_OBJECT)
         .when(~F.endswith(inner, F.lit("}")), MALFORMED)
     )
-    fields = [(f.name, *_value(parsed, f"$[0].{f.name}", f.dataType)) for f in schema.fields]
-    bad = [F.when(given & typed.isNull(), F.lit(name)) for name, given, typed in fields]
-    absent = [F.when(~given, F.lit(name)) for name, given, _ in fields if name in required]
+    given, typed = (lambda name: F.col(f"{one}.given.{name}")), (lambda name: F.col(f"{one}.typed.{name}"))
+    bad = [F.when(given(n) & typed(n).isNull(), F.lit(n)) for n in schema.names]
+    absent = [F.when(~given(n), F.lit(n)) for n in schema.names if n in required]
     nothing = F.array().cast("array<string>")
 
     def listed(names: list[Column]) -> Column:
         return F.filter(F.array(*names), lambda x: x.isNotNull()) if names else nothing
 
-    found = rows.withColumn(parsed, whole).withColumn(one, F.struct(
-        shape.alias("shape"), listed(bad).alias("bad"), listed(absent).alias("absent"), F.struct(*(t.alias(n) for n, _, t in fields)).alias("doc"),
-    ))
-    shape, bad, absent = F.col(f"{one}.shape"), F.col(f"{one}.bad"), F.col(f"{one}.absent")
+    found = _once(found, F.struct(shape.alias("shape"), listed(bad).alias("bad"), listed(absent).alias("absent")), f"{one}_faults")
+    shape, bad, absent = (F.col(f"{one}_faults.{x}") for x in ("shape", "bad", "absent"))
     reason = F.coalesce(shape, F.when(F.size(bad) > 0, BAD_VALUE), F.when(F.size(absent) > 0, MISSING))
     named = F.when(shape.isNotNull(), nothing).when(F.size(bad) > 0, bad).otherwise(absent)
-    return found.withColumns({into: F.col(f"{one}.doc"), REASON: reason, FIELDS: named}).drop(parsed, one)
+    found = _once(found, F.struct(reason.alias("reason"), named.alias("fields")), f"{one}_verdict")
+    return found.withColumns({
+        into: F.col(f"{one}.typed"), REASON: F.col(f"{one}_verdict.reason"), FIELDS: F.col(f"{one}_verdict.fields"),
+    }).drop(parsed, one, f"{one}_raw", f"{one}_faults", f"{one}_verdict")
 
 
-def _value(holder: str | Column, path: str, kind: T.DataType) -> tuple[Column, Column]:
-    """Whether a value is given at a path of a variant, and the value in its type (NULL where it does not fit whole)."""
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``rows`` with a column computed once a row: an expression below a generator is not copied into what uses it,
+    where a filter on the result would otherwise parse the document again for each field it asks for."""
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
 
-    def get(as_type: str) -> Column:
-        return F.try_variant_get(holder, path, as_type)
 
-    value = get("variant")
+def _is_nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.ArrayType, T.StructType))
+
+
+def _field(raw: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """Whether a value is given, and the value in its type (NULL where it does not fit whole)."""
+    if _is_nested(kind):
+        return _nested(raw, "$", kind)
+    return raw.isNotNull(), _scalar(raw, kind)
+
+
+def _scalar(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    typed = text.try_cast(kind)
+    if type(kind) in _SHAPES:
+        typed = F.when(text.rlike(_SHAPES[type(kind)]), typed)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        typed = F.when(F.abs(typed) < float("inf"), typed)  # neither beyond the type's range nor NaN
+    return typed
+
+
+def _nested(holder: Column, path: str, kind: T.DataType) -> tuple[Column, Column]:
+    """As ``_field``, of what a variant holds at a path. An array fits if all its elements do, NULL ones included."""
+    value = F.try_variant_get(holder, path, "variant")
     given = value.isNotNull() & ~F.is_variant_null(value)
     if isinstance(kind, T.StructType):
-        parts = [(f.name, *_value(holder, f"{path}.{f.name}", f.dataType)) for f in kind.fields]
+        parts = [(f.name, *_nested(holder, f"{path}.{f.name}", f.dataType)) for f in kind.fields]
         whole = reduce(lambda x, y: x & y, [~there | typed.isNotNull() for _, there, typed in parts], F.startswith(F.schema_of_variant(value), F.lit("OBJECT")))
         return given, F.when(given & whole, F.struct(*(typed.alias(name) for name, _, typed in parts)))
     if isinstance(kind, T.ArrayType):
-        items = get("array<variant>")
+        items = F.try_variant_get(holder, path, "array<variant>")
 
         def fits(item: Column) -> Column:
-            there, typed = _value(item, "$", kind.elementType)
+            there, typed = _nested(item, "$", kind.elementType)
             return ~there | typed.isNotNull()
 
-        return given, F.when(F.forall(items, fits), F.transform(items, lambda item: _value(item, "$", kind.elementType)[1]))
-    text = get("string")
-    if isinstance(kind, T.StringType):
-        return given, F.when(given, F.coalesce(text, F.to_json(value)))
-    typed = text.try_cast(kind)
-    if type(kind) in _SHAPES:
-        typed = F.when(text.rlike(_SHAPES[type(kind)]), typed)
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        typed = F.when(F.abs(typed) < float("inf"), typed)  # neither beyond the type's range nor NaN
-    return given, typed
+        return given, F.when(F.forall(items, fits), F.transform(items, lambda item: _nested(item, "$", kind.elementType)[1]))
+    return given, F.when(given, _scalar(F.try_variant_get(holder, path, "string"), kind))
 
 
 def accepted(rows: DataFrame, into: str = TYPED, keep: Sequence[str] = ()) -> DataFrame:
