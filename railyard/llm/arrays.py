@@ -128,6 +128,26 @@ def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Texts]:
         begin = end
 
 
+def pieces(texts: Texts, size: int = CHUNK_BYTES) -> Iterator[Texts]:
+    """A run of texts as it is; a single long text in pieces that end at white space where there is any, else after a
+    whole character."""
+    if texts.count != 1 or len(texts.data) <= size:
+        yield texts
+        return
+    begin, n = 0, len(texts.data)
+    while begin < n:
+        end = min(begin + size, n)
+        if end < n:
+            gaps = np.flatnonzero(~PLAIN[texts.data[begin:end]])
+            if len(gaps):
+                end = begin + int(gaps[-1]) + 1
+            else:
+                while end < n and texts.data[end] & 0xC0 == 0x80:
+                    end += 1
+        yield Texts(texts.data[begin:end], np.array([0, end - begin]), texts.first)
+        begin = end
+
+
 def shingles(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text of every run of ``width`` words; a shorter text with words has its whole sequence as one."""
     n = len(hashes)

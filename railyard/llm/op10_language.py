@@ -9,7 +9,9 @@ The model is fitted on at most about ``TRAIN_DOCS`` labelled rows of each langua
 id); its table is bounded by ``BUCKETS`` times the number of languages.
 
 NULL text or a text without a letter: ``und``, score 0. Letters of scripts that no language has: the most frequent
-language, score 0. No labelled rows at all: ``und`` everywhere. Repeated rows get one result each.
+language, score 0. No labelled rows at all: ``und`` everywhere (``keep_identified`` raises). Of languages with equal
+letters the first by name is taken. Repeated rows get one result each. A text beyond ``CHUNK`` bytes is read whole, in
+pieces that end at white space; the Viterbi state is carried from one to the next.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ ORDERS = 3
 SWITCH = 12.0
 SMOOTH = 0.5
 UNKNOWN = "und"
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 # First and last code points of scripts, after the public block list.
 SCRIPTS = (
@@ -140,39 +142,73 @@ class Model:
         return out
 
 
-def viterbi(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray:
-    """The best language of each word; all texts of the batch take a step at a time, the longest ones longest."""
-    labels = np.zeros(len(scores), np.int8)
-    length = np.diff(bounds)
-    order = np.argsort(-length, kind="stable")
-    order = order[length[order] > 0]
-    if not len(order):
-        return labels
-    begin, length = bounds[:-1][order], length[order]
-    live = np.searchsorted(-length, -np.arange(length[0]), "left")  # texts longer than step t
-    stay = np.zeros(len(scores), np.int8)  # per word: best language of the word before, if a change pays
-    changed = np.zeros(scores.shape, bool)
-    best = np.zeros((len(order), scores.shape[1]), np.float32)
-    for t in range(length[0]):
+class Trail:
+    """What the way back needs of some words: the best language of the word before, and whether a change pays."""
+
+    def __init__(self, words: int, languages: int):
+        self.stay = np.zeros(words, np.int32)
+        self.changed = np.zeros((words, languages), bool)
+
+
+def _forward(scores: np.ndarray, begin: np.ndarray, live: np.ndarray, best: np.ndarray, switch: float, trail: Trail, first: bool) -> None:
+    """Steps through words ``begin`` + t of the texts still live at t; ``best`` holds each text's state and goes on."""
+    for t in range(len(live)):
         n = live[t]
         at = begin[:n] + t
-        if t:
+        if t or not first:
             top = best[:n].argmax(1)
             floor = best[np.arange(n), top] - switch
-            stay[at] = top
+            trail.stay[at] = top
             pays = best[:n] < floor[:, None]
-            changed[at] = pays
+            trail.changed[at] = pays
             best[:n] = np.where(pays, floor[:, None], best[:n])
         best[:n] += scores[at]
-    label = best.argmax(1)
-    for t in range(length[0] - 1, -1, -1):
+
+
+def _backward(begin: np.ndarray, live: np.ndarray, label: np.ndarray, trail: Trail, labels: np.ndarray) -> None:
+    """Writes ``labels`` from the last words to the first; ``label`` ends as that of the word before the first."""
+    for t in range(len(live) - 1, -1, -1):
         n = live[t]
         at = begin[:n] + t
         labels[at] = label[:n]
-        label[:n] = np.where(changed[at, label[:n]], stay[at], label[:n])
+        label[:n] = np.where(trail.changed[at, label[:n]], trail.stay[at], label[:n])
+
+
+def viterbi(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.ndarray:
+    """The best language of each word; all texts of the batch take a step at a time, the longest ones longest."""
+    labels = np.zeros(len(scores), np.int32)
+    length = np.diff(bounds)
+    order = np.argsort(-length, kind="stable")
+    order = order[length[order] > 0]
+    if not len(order):
+        return labels
+    begin, length = bounds[:-1][order], length[order]
+    live = np.searchsorted(-length, -np.arange(length[0]), "left")  # texts longer than step t
+    trail = Trail(len(scores), scores.shape[1])
+    best = np.zeros((len(order), scores.shape[1]), np.float32)
+    _forward(scores, begin, live, best, switch, trail, True)
+    _backward(begin, live, best.argmax(1), trail, labels)
     return labels
 
 
+def viterbi_in_pieces(pieces: Iterator[np.ndarray], languages: int, switch: float) -> list[np.ndarray]:
+    """The same for one text whose words come piece by piece: the state is carried on, scores are not kept."""
+    best, trails = np.zeros((1, languages), np.float32), []
+    zero, words = np.zeros(1, np.int64), 0
+    for scores in pieces:
+        trail = Trail(len(scores), languages)
+        best -= best.max()  # a constant; keeps sums small
+        _forward(scores, zero, np.ones(len(scores), np.int64), best, switch, trail, words == 0)
+        words += len(scores)
+        trails.append(trail)
+    label, found = best.argmax(1), []
+    for trail in reversed(trails):
+        labels = np.zeros(len(trail.stay), np.int32)
+        _backward(zero, np.ones(len(labels), np.int64), label, trail, labels)
+        found.append(labels)
+    return found[::-1]
+
+
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     """From text and lang of rows with both; other columns are not read."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
@@ -209,26 +245,56 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     return Model(langs, both[:BUCKETS], both[BUCKETS:])
 
 
+class Words:
+    """Of the words of some texts: begin and end (code points of their text), text, language, and its letters if any
+    language could score it."""
+
+    def __init__(self, words: LetterWords, model: Model, text: np.ndarray, first: int = 0):
+        base = words.bounds[text]
+        self.begin, self.end, self.text = words.starts - base + first, words.ends - base + first, text
+        self.letters = words.letters
+        self.scored = model.allowed[words.script].any(1) if len(model.langs) else np.zeros(len(text), bool)
+
+
 class Labelled:
     """Words of a chunk of texts with their languages, and each text's language (its number, or the number of
     languages for none) and share of letters."""
 
     def __init__(self, model: Model, texts: arrays.Texts, switch: float):
         n = len(model.langs)
-        self.words = words = LetterWords(texts)
-        scores = model.scores(words) if n else np.zeros((len(words.starts), 0), np.float32)
-        self.labels = viterbi(scores, words.word_bounds, switch) if n else np.zeros(len(scores), np.int8)
-        self.text = np.repeat(np.arange(words.count), np.diff(words.word_bounds))
-        scored = model.allowed[words.script].any(1) if n else np.zeros(len(self.text), bool)
-        weight = np.zeros((words.count, max(n, 1)))
-        np.add.at(weight, (self.text[scored], self.labels[scored]), words.letters[scored])
-        letters = np.bincount(self.text, weights=words.letters, minlength=words.count)
+        self.count = texts.count
+        if texts.count == 1 and len(texts.data) > CHUNK and n:
+            parts, self.labels = self._in_pieces(model, texts, switch)
+        else:
+            words = LetterWords(texts)
+            scores = model.scores(words) if n else np.zeros((len(words.starts), 0), np.float32)
+            self.labels = viterbi(scores, words.word_bounds, switch) if n else np.zeros(len(scores), np.int32)
+            parts = [Words(words, model, np.repeat(np.arange(words.count), np.diff(words.word_bounds)))]
+        self.begin, self.end, self.text, each, scored = (np.concatenate([getattr(p, x) for p in parts]) for x in ("begin", "end", "text", "letters", "scored"))
+        weight = np.zeros((self.count, max(n, 1)))
+        np.add.at(weight, (self.text[scored], self.labels[scored]), each[scored])
+        letters = np.bincount(self.text, weights=each, minlength=self.count)
         total = weight.sum(1)
         best = np.where(total > 0, weight.argmax(1), model.frequent)
         self.spoken = (letters > 0) & (n > 0)
         self.best = np.where(self.spoken, best, n)
         self.share = np.where(self.spoken & (total > 0), weight.max(1) / np.maximum(total, 1), 0.0)
 
+    @staticmethod
+    def _in_pieces(model: Model, texts: arrays.Texts, switch: float) -> tuple[list[Words], np.ndarray]:
+        parts: list[Words] = []
+
+        def scored() -> Iterator[np.ndarray]:
+            first = 0
+            for piece in arrays.pieces(texts, CHUNK):
+                words = LetterWords(piece)
+                parts.append(Words(words, model, np.zeros(len(words.starts), np.int64), first))
+                first += len(words.code)
+                yield model.scores(words)
+
+        labels = viterbi_in_pieces(scored(), len(model.langs), switch)
+        return parts, np.concatenate(labels)
+
 
 def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """Per row: doc_id, lang_pred, score and the spans (begin, end in code points, lang)."""
@@ -243,7 +309,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
                 found = Labelled(model, texts, switch)
                 made = [
                     batch.column(0)[texts.first : texts.first + texts.count], pa.array(names[found.best], pa.string()), pa.array(found.share),
-                    _spans(found.words, found.text, found.labels, model.langs, span),
+                    _spans(found, model.langs, span),
                 ]
                 yield pa.RecordBatch.from_arrays(made, names=["doc_id", "lang_pred", "score", "spans"])
 
@@ -251,16 +317,16 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     return tables.keyed(docs).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double, {spans}")
 
 
-def _spans(words: LetterWords, text: np.ndarray, labels: np.ndarray, langs: list[str], kind: pa.DataType) -> pa.Array:
+def _spans(found: Labelled, langs: list[str], kind: pa.DataType) -> pa.Array:
+    text, labels = found.text, found.labels
     new = np.concatenate([[True], (text[1:] != text[:-1]) | (labels[1:] != labels[:-1])]) if len(text) and langs else np.zeros(len(text), bool)
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(text)]]) - 1 if len(first) else first
-    base = words.bounds[text[first]]
     values = pa.StructArray.from_arrays(
-        [pa.array((words.starts[first] - base).astype(np.int32)), pa.array((words.ends[last] - base).astype(np.int32)), pa.array([langs[k] for k in labels[first]], pa.string())],
+        [pa.array(found.begin[first].astype(np.int32)), pa.array(found.end[last].astype(np.int32)), pa.array([langs[k] for k in labels[first]], pa.string())],
         fields=list(kind),
     )
-    ends = np.concatenate([[0], np.cumsum(np.bincount(text[first], minlength=words.count))]).astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(text[first], minlength=found.count))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
@@ -275,16 +341,30 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
-def keep_identified(docs: DataFrame, folds: int = FOLDS, switch: float = SWITCH) -> DataFrame:
-    """``docs``, all columns, without the rows in which no language is found (NULL, or no letter)."""
+def keep_identified(
+    docs: DataFrame, folds: int = FOLDS, switch: float = SWITCH, min_score: float = 0.0, languages: set[str] | None = None
+) -> DataFrame:
+    """``docs``, all columns, without the rows whose language is not identified or not wanted.
+
+    A row stays if its text has a language at all (not NULL, a letter in it), the predicted one is among ``languages``
+    (None: any) and its score, the language's share of the letters, is ``min_score`` or more. With rows but none of
+    them labelled there is nothing to learn languages from: that raises, instead of dropping or passing all.
+    """
     model = train(docs.filter(~tables.held_out("doc_id", folds)))
+    if not model.langs:
+        if docs.isEmpty():
+            return docs
+        raise ValueError("no rows with text and language outside the held-out fold: no language can be identified")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     column = docs.columns.index("text")
+    wanted = np.array([*(languages is None or lang in languages for lang in model.langs), False])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for texts in arrays.chunks(batch.column(column), CHUNK):
-                yield batch.slice(texts.first, texts.count).filter(pa.array(Labelled(model, texts, switch).spoken))
+                found = Labelled(model, texts, switch)
+                stays = found.spoken & wanted[found.best] & (found.share >= min_score)
+                yield batch.slice(texts.first, texts.count).filter(pa.array(stays))
 
     return docs.mapInArrow(run, docs.schema)

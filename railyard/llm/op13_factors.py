@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import arrays, tables
+from railyard.llm.arrays import pieces
 
 FOLDS = 5
 TRAIN_DOCS = 20_000
@@ -57,21 +58,6 @@ def classes(members: bytes) -> np.ndarray:
 _COUNTED = [classes(SYMBOLS), classes(bytes(range(0x41, 0x5B))), classes(bytes(range(0x30, 0x3A))), classes(b"!?"), classes(b"|"), classes(b"\n"), classes(b" \t\r\n\v\f"), classes(b".!?:;")]
 
 
-def pieces(texts: arrays.Texts, size: int = arrays.CHUNK_BYTES) -> Iterator[arrays.Texts]:
-    """A run of texts as it is; a single long text in pieces that end at white space where there is any."""
-    if texts.count != 1 or len(texts.data) <= size:
-        yield texts
-        return
-    begin, n = 0, len(texts.data)
-    while begin < n:
-        end = min(begin + size, n)
-        if end < n:
-            gaps = np.flatnonzero(~arrays.PLAIN[texts.data[begin:end]])
-            end = begin + int(gaps[-1]) + 1 if len(gaps) else end
-        yield arrays.Texts(texts.data[begin:end], np.array([0, end - begin]), texts.first)
-        begin = end
-
-
 class Rows:
     """Features of some texts: text ``owner``, feature number ``index`` and ``value``, sorted by text."""
 

@@ -252,13 +252,14 @@ def lexicon_words(vocabulary: Vocabulary) -> dict[bytes, list[int]]:
 class Codec:
     """Encodes and decodes texts. Ids of a batch's distinct words are found once per piece of text."""
 
-    KEEP = 600_000
+    KEEP_BYTES, ENTRY_BYTES = 32 << 20, 200
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.any_words, self.latin_words = regex.compile(PATTERN), re.compile(LATIN_PATTERN)
         self.added = regex.compile("|".join(regex.escape(a) for a in sorted(vocabulary.added, key=len, reverse=True))) if vocabulary.added else None
         self.known: dict[str, str] = {}
+        self.held = 0
         self.token = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of, default=-1) + 1)]
         self.token_data = np.frombuffer(b"".join(self.token), np.uint8)
         self.token_length = np.array([len(t) for t in self.token], np.int64)
@@ -273,9 +274,9 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.KEEP:
+        if self.held > self.KEEP_BYTES:
             self.known.clear()  # a bounded store; nothing but speed depends on it
-            new = list(words)
+            self.held, new = 0, list(words)
         coded = [w.encode() for w in new]
         ranks = self.lexicon.ranks(coded)
         begin, ids = self.lexicon.begin, self.lexicon.ids
@@ -284,6 +285,7 @@ class Codec:
         unseen = np.flatnonzero(ranks < 0).tolist()
         for k, parts in zip(unseen, self.vocabulary.merge([coded[k] for k in unseen])):
             self.known[new[k]] = ",".join(map(str, parts))
+        self.held += sum(len(w) + len(self.known[w]) + self.ENTRY_BYTES for w in new)
 
     def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text cut at added tokens; True for these. A very long piece goes on in parts, cut where no word
