@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from railyard.llm import op1_lines, op4_jaccard, op8_bpe, op9_decontaminate, op10_language, tables
 
 
+#: Least share of a document's letters that its predicted language has.
+LANGUAGE_SHARE = 0.3
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be found."""
-    return op10_language.keep_identified(docs)
+    """Documents of an identified language: one that has its share of the letters. Others are in no learned language's
+    script, in too many languages at once, or without letters."""
+    return op10_language.keep_identified(docs, min_score=LANGUAGE_SHARE)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
