@@ -391,17 +391,23 @@ def plausible(pairs: DataFrame, sizes: DataFrame, known: DataFrame, percent: int
 def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Pairs still to be compared: (a, b) of different components in one group whose bound lets them link.
 
-    Pivots have met all others of their groups, so only the other nodes are left. Of two components one asks.
+    Pivots have met all others of their groups, so only the other nodes are left. Of two components one asks: the nodes
+    of the smaller one, as a large group of copies is mostly one component.
     """
-    rooted = groups.select("sig", "node").join(roots, "node", "left").join(sizes, "node").select("sig", "node", F.coalesce("root", "node").alias("root"), "n")
-    rooted = tables.written(rooted, "rooted")
+    rooted = groups.select("sig", "pivot", "node").join(roots, "node", "left").join(sizes, "node")
+    rooted = tables.written(rooted.select("sig", "pivot", "node", F.coalesce("root", "node").alias("root"), "n"), "rooted")
     mixed = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
     rooted = tables.written(rooted.join(mixed, "sig", "left_semi"), "mixed")
     if rooted.isEmpty():
         return None
-    others = rooted.groupBy("sig", F.col("root").alias("group")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    fits = (F.col("root") > F.col("group")) & (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
-    queries = rooted.join(others, "sig").filter(fits).groupBy("node", "group").agg(F.min("n").alias("n"), F.min("low").alias("low"))
+    # once a pivot, whatever the number of parts: a node asks the components with more members around the pivot
+    around = tables.written(rooted.select("pivot", "node", "root", "n").distinct(), "around")
+    others = around.groupBy("pivot", F.col("root").alias("group")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("members"))
+    others = tables.written(others, "others")
+    own = others.select("pivot", F.col("group").alias("root"), F.col("members").alias("mine"))
+    larger = (F.col("members") > F.col("mine")) | ((F.col("members") == F.col("mine")) & (F.col("root") > F.col("group")))
+    fits = larger & (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
+    queries = around.join(own, ["pivot", "root"]).join(others, "pivot").filter(fits).groupBy("node", "group").agg(F.min("n").alias("n"), F.min("low").alias("low"))
     queries = tables.written(queries, "queries")
     if queries.isEmpty():
         return None
