@@ -18,7 +18,7 @@ HEADLINE = (
     "silver_ach", "silver_atm", "bronze_latest_state", "gold_daily_volume", "gold_scheme_performance",
     "gold_settlement_summary", "mrg1_upsert", "mrg1_partition_move", "serving_daily_volume", "serving_settlement",
     "metrics_by_scheme_month", "metrics_across_marts", "dq1_not_null", "dq2_unique", "frs1_gate",
-    "aud9_alignment", "qry6", "qry8", "qry9", "pro1_profile", "lin1_edges",
+    "aud9_alignment", "qry6", "qry8", "qry9", "pro1_profile", "lin1_edges", "src4_topic", "src2_fitting",
 )
 
 

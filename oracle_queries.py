@@ -353,6 +353,7 @@ def bronze_sql() -> dict[str, str]:
              UNION ALL SELECT opening || '}', seq, 'bad value', 'amount_egp' FROM faulty
              WHERE seq % 29 = 2 AND op <> 'd' AND amount_egp IS NOT NULL""",
         "snk2_stream_upsert": ach + state,
+        "snk3_targets": BRONZE["ach"],
     }
 
 
@@ -741,6 +742,13 @@ def audit_sql() -> dict[str, str]:
             for t in ("mart_daily_txn_volume", "mart_scheme_performance", "mart_settlement_summary")
         ]
     )
+    ages = union(
+        [
+            f"""SELECT '{SILVER_TABLE[r]}' AS table_name,
+                       CAST(date_sub('hour', max({HIGH_WATER[r]}), {AS_OF}) AS BIGINT) AS hours_since_last_write FROM s_{r}"""
+            for r in BRONZE
+        ]
+    )
     after = ("after_deletes", latest_state("ach_log", ACH_COLUMNS, ["txn_id"]))
     conservation = union(
         [
@@ -754,13 +762,6 @@ def audit_sql() -> dict[str, str]:
         *ALL_SILVER, VOLUME, *[first_load(r) for r in BRONZE], *[target(r) for r in BRONZE], ("served", daily_volume("t_"))
     )
     window = "report_date >= DATE '2024-01-25' - INTERVAL 7 DAY"
-    ages = union(
-        [
-            f"""SELECT '{SILVER_TABLE[r]}' AS table_name,
-                       CAST(date_sub('hour', max({HIGH_WATER[r]}), {AS_OF}) AS BIGINT) AS hours_since_last_write FROM s_{r}"""
-            for r in BRONZE
-        ]
-    )
     alignment = union(
         [f"SELECT 'bronze.{BRONZE_TABLE[r]}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM b_{r}" for r in BRONZE]
         + [f"SELECT 'silver.{SILVER_TABLE[r]}', CAST(count(*) AS BIGINT) FROM s_{r}" for r in BRONZE]
@@ -783,6 +784,9 @@ def audit_sql() -> dict[str, str]:
     return {
         "tel1_counts": silver_only + telemetry,
         "tel2_drift": silver_only + drift,
+        "snk4_telemetry": silver_only
+        + f"""SELECT * REPLACE ('run-1' AS run_id, {AS_OF} - INTERVAL 1 HOUR AS recorded_at) FROM ({telemetry})
+              UNION ALL SELECT * REPLACE ('run-2' AS run_id) FROM ({telemetry})""",
         "aud2_stamps": MARTS + stamps,
         "aud3_partitions": MARTS + months,
         "aud4_conservation": with_(*ALL_SILVER, ACH_LOG, after)
@@ -794,7 +798,9 @@ def audit_sql() -> dict[str, str]:
                      report_date, scheme, gold.txn_count AS gold_value, copy.txn_count AS serving_value
               FROM gold FULL JOIN copy USING (report_date, scheme)
               WHERE gold.scheme IS NULL OR copy.scheme IS NULL""",
-        "aud6_empty": "SELECT 'silver.refunds' AS table_name, CAST(0 AS BIGINT) AS row_count",
+        "aud6_empty": silver_only
+        + f"""SELECT * FROM ({alignment} UNION ALL SELECT 'silver.refunds', CAST(count(*) FILTER (txn_type = 'REFUND') AS BIGINT) FROM s_wallet)
+              WHERE row_count = 0""",
         "aud7_age": silver_only + f"SELECT * FROM ({ages}) WHERE hours_since_last_write > 4",
         "aud9_alignment": silver_only + alignment,
         "joi1_value_reconcile": stale

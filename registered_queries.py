@@ -17,7 +17,7 @@ from railyard import contracts
 from railyard.checks import CHECKS
 from railyard.functions.cleanse import hash_pii
 from railyard.operators import audit, changelog, dedup, freshness, incremental, lineage, merge, profile, quality
-from railyard.plans import gold, reports, semantic, serving, silver
+from railyard.plans import chain, gold, reports, semantic, serving, silver
 from railyard.rails import ACH, ATM, IPN, RAILS, WALLET
 from railyard.session import in_parallel, pin_utc, shared_dir
 from railyard.sources import documents, rejects, surrogates, tables, topic
@@ -53,6 +53,13 @@ def first_load(spark: SparkSession, sf_dir: str, rail: str) -> DataFrame:
     return rows.filter(F.col(RAILS[rail].event_time).cast("timestamp_ntz") < moment(FIRST_LOAD[rail]))
 
 
+def once(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back, for queries that use them several times."""
+    path = f"{shared_dir(rows.sparkSession).rstrip('/')}/railyard-once/{label}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def moment(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -186,6 +193,16 @@ def bronze_queries() -> dict[str, Query]:
         rows = bronze_stream.read_rejects(spark, f"{base}/rejects")
         return rows.select(topic.RECORD_KEY, "seq", rejects.REASON, F.array_join(rejects.FIELDS, ",").alias("fields"))
 
+    def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Transfers that arrive as text, in two portions and another order of columns, appended to a typed target."""
+        path = f"{shared_dir(spark).rstrip('/')}/railyard-target/{uuid.uuid4().hex}"
+        rows = bronze_of(spark, sf_dir, "ach")
+        early = F.coalesce(F.col(ACH.event_time) < moment(FIRST_LOAD["ach"]), F.lit(False))
+        for part in (early, ~early):
+            texts = rows.filter(part).select([F.col(c).cast("string").alias(c) for c in reversed(rows.columns)])
+            tables.typed_append(texts, path, ACH.bronze_schema)
+        return spark.read.schema(ACH.bronze_schema).parquet(path)
+
     return {
         "bronze_latest_state": lambda s, d: changelog.latest_state(surrogates.ach_changelog(s, d), ACH.keys),
         "bronze_composite_key": lambda s, d: changelog.latest_state(surrogates.atm_changelog(s, d), ATM.keys),
@@ -202,6 +219,7 @@ def bronze_queries() -> dict[str, Query]:
         "src4_topic": decoded,
         "src4_rejects": rejected_records,
         "snk2_stream_upsert": streamed,
+        "snk3_targets": targets,
     }
 
 
@@ -234,8 +252,9 @@ def silver_queries() -> dict[str, Query]:
         return silver.silver_after_load(IPN, bronze_of(spark, sf_dir, "ipn"), target(spark, sf_dir, "ipn"))
 
     def moved(spark: SparkSession, sf_dir: str) -> DataFrame:
-        old = target(spark, sf_dir, "ach")
-        new = silver.silver_increment(ACH, bronze_of(spark, sf_dir, "ach"), old)
+        """Target and increment are written once, as a load finds and stages them."""
+        old = once(target(spark, sf_dir, "ach"), "target")
+        new = once(silver.silver_increment(ACH, bronze_of(spark, sf_dir, "ach"), old), "increment")
         return merge.touched_partitions(
             silver.with_event_day(ACH, old), silver.with_event_day(ACH, new), ACH.merge_keys, silver.EVENT_DAY
         )
@@ -279,12 +298,12 @@ def gold_queries() -> dict[str, Query]:
 
 
 def serving_queries() -> dict[str, Query]:
-    """The state after two runs: a full copy of the first marts, then the window of the second."""
+    """The state after two runs: a full copy of the first marts, then the window of the second, which the lake has."""
 
     def two_runs(table: serving.ServingTable, mart: Callable[[dict], DataFrame], as_of: str) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             first = serving.publish(table, mart(first_silvers(spark, sf_dir)), None, as_of)
-            return serving.publish(table, mart(silvers(spark, sf_dir)), first, as_of)
+            return serving.publish(table, Lake(spark, sf_dir).mart(table.mart), first, as_of)
 
         return run
 
@@ -424,6 +443,17 @@ def audit_queries() -> dict[str, Query]:
     def ages(lake: Lake) -> DataFrame:
         return audit.write_age({r.silver_table: (lake.silver(r.name), r.high_water) for r in RAILS.values()}, AS_OF)
 
+    def recorded(lake: Lake) -> DataFrame:
+        """Telemetry of two runs as it is stored; the first broke off before silver and was repeated."""
+        path = f"{shared_dir(lake.spark).rstrip('/')}/railyard-telemetry/{uuid.uuid4().hex}"
+        before = {t: (b, s.filter(F.lit(False))) for t, (b, s) in by_topic(lake).items()}
+        early = f"{AS_OF[:10]} 02:00:00"
+        chain.append_run(audit.pipeline_metrics(before, "run-1", AS_OF[:10], early), path)
+        chain.append_run(audit.pipeline_metrics(by_topic(lake), "run-1", AS_OF[:10], early), path)
+        chain.append_run(audit.pipeline_metrics(by_topic(lake), "run-2", AS_OF[:10], AS_OF), path)
+        rows = lake.spark.read.parquet(path).select(*contracts.PIPELINE_METRICS.names)
+        return rows.withColumn("recorded_at", F.col("recorded_at").cast("timestamp_ntz"))
+
     def layer_tables(lake: Lake) -> dict[str, DataFrame]:
         out = {f"bronze.{r.bronze_table}": lake.bronze(r.name) for r in RAILS.values()}
         return out | {f"silver.{r.silver_table}": lake.silver(r.name) for r in RAILS.values()}
@@ -437,6 +467,7 @@ def audit_queries() -> dict[str, Query]:
     return {
         "tel1_counts": on_lake(metrics),
         "tel2_drift": on_lake(drift),
+        "snk4_telemetry": on_lake(recorded),
         "aud2_stamps": on_lake(stamps),
         "aud3_partitions": on_lake(partitions),
         "aud4_conservation": on_lake(conservation),
