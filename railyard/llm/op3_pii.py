@@ -298,6 +298,11 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def counted(spans: Column, kind: int) -> Column:
+    """How many spans are of a kind. The lambda has one argument: a second one would be given the span's index."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets; of overlapping spans the first names the place."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
@@ -312,5 +317,5 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect(tables.read(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [counted(F.col("base"), kind).alias(f"n_{name}") for kind, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))

@@ -316,3 +316,13 @@ def test_language_spans_and_rejections(spark):
 ])
 def test_empty_table(spark, run):
     assert run(docs(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_pii_counts_are_by_kind_not_by_place(spark, tmp_path):
+    """Spans of one kind in a row, and kinds out of their listed order."""
+    texts = ["nothing", "a@b.c_x@d.e", "+1 555 123 4567 then 10.0.0.1 then a@b.co", "4111111111111111; 4111-1111-1111-1111"]
+    docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op3_pii.op3_pii(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in rows} == {
+        0: (0, 0, 0, 0), 1: (2, 0, 0, 0), 2: (1, 1, 0, 1), 3: (0, 0, 2, 0),
+    }
