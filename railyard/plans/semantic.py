@@ -135,6 +135,11 @@ def _inputs(metric: str) -> tuple[str, ...]:
     raise KeyError(f"unknown metric {metric!r}")
 
 
+def marts_of(metrics: Sequence[str]) -> list[str]:
+    """The marts that some metrics are computed from."""
+    return list(dict.fromkeys(_MEASURE_HOME[SIMPLE_METRICS[i]][0].mart for m in metrics for i in _inputs(m)))
+
+
 def _group_column(model: SemanticModel, name: str) -> Column:
     """``scheme``, ``report_date``, ``report_date__week`` or ``metric_time__week``."""
     base, _, grain = name.partition("__")
