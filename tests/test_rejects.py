@@ -179,3 +179,32 @@ def test_lineage_events_are_parted(spark):
     odd = good.filter("no = 9").first()
     assert odd.inputs[0] is None and odd.inputs[1].name == '{"x":1}' and odd.run.runId == "5"
     assert lineage.edges(good).count() == 1 and bad.filter(F.col("value") == whole[:-2]).count() == 1
+
+
+def test_nested_texts_by_one_cast_equal_the_walk(spark, monkeypatch):
+    """Arrays and objects of texts: what the one cast gives, or the walk where a part is NULL, is what the walk alone gives."""
+    inner = T.StructType([T.StructField("namespace", T.StringType()), T.StructField("name", T.StringType())])
+    kind = T.StructType([T.StructField("run", inner), T.StructField("inputs", T.ArrayType(inner)), T.StructField("tags", T.ArrayType(T.ArrayType(T.StringType())))])
+    item = ['{"namespace":"a","name":"b"}', '{"name":1.50}', '{"name":null}', '{"name":{"x":[1,true]}}', "null", "7", '"t"', "[]", "{}", "[null]", '["a",["b"]]']
+    texts = [f'{{"run":{a},"inputs":[{a},{b}],"tags":[[{a}],{b}]}}' for a in item for b in item]
+    texts += [f'{{"inputs":{a},"tags":{a},"other":1}}' for a in item]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+
+    def found():
+        return [(r.id, r.reject_reason, r.reject_fields, r.typed_record) for r in rejects.checked(rows, "value", kind).orderBy("id").collect()]
+
+    quick = found()
+    monkeypatch.setattr(rejects, "_of_texts", lambda kind: False)
+    assert quick == found()
+    assert {reason for _, reason, _, _ in quick} == {None, "bad value"}
+
+
+def test_batch_size_follows_the_bytes_of_a_topic(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "topic")
+    spark.range(0, 4000, 1, 40).selectExpr("CAST(id AS STRING) AS key").write.parquet(path)
+    assert topic.files_per_batch(spark, path, at_least=2) == 10  # 40 small files: four batches, not twenty
+    size = topic.listed_files(spark, path).first()["bytes"]
+    monkeypatch.setattr(topic, "BATCH_BYTES", size // 8)
+    assert topic.files_per_batch(spark, path, at_least=2) in (5, 6)
+    monkeypatch.setattr(topic, "BATCH_BYTES", 1)
+    assert topic.files_per_batch(spark, path, at_least=2) == 2
