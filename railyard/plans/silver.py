@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from railyard import contracts
 from railyard.checks import CHECKS
-from railyard.operators.dedup import latest_per_key, not_null_key
+from railyard.operators.dedup import latest_per_key, latest_read_again, not_null_key
 from railyard.operators.directory import KeyDirectory
 from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
@@ -24,15 +24,19 @@ from railyard.sources.tables import full_refresh as replace_table
 EVENT_DAY = PARTITION["silver"]
 
 
-def silver(rail: Rail, bronze: DataFrame) -> DataFrame:
+def silver(rail: Rail, bronze: DataFrame, kept: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """The whole silver step: needed columns, latest version per key, cleansing.
 
-    NULL keys are dropped before the shuffle where the rail drops them at all.
+    NULL keys are dropped before the shuffle where the rail drops them at all. With ``kept`` bronze is cheap to read
+    again, so that only repeated keys' rows need the shuffle (``latest_read_again``).
     """
     source = bronze.select(*rail.source_columns)
     if rail.drop_null_key:
         source = not_null_key(source, rail.dedup_keys)
-    latest = latest_per_key(source, rail.dedup_keys, order=[rail.event_time], prefer=rail.prefer)
+    if kept is None:
+        latest = latest_per_key(source, rail.dedup_keys, order=[rail.event_time], prefer=rail.prefer)
+    else:
+        latest = latest_read_again(source, rail.dedup_keys, order=[rail.event_time], prefer=rail.prefer, kept=kept)
     return cleanse(rail, latest)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from railyard.operators import dedup
 from railyard.session import SMALL_TASKS, small_tasks
 from railyard.sources import surrogates
 
@@ -51,3 +54,37 @@ def test_changelog_rows(spark):
         + [("17", None, "d", gone), ("34", None, "d", gone), ("34", 1.0, "c", back + day + 100)],
         key=str,
     )
+
+
+@pytest.fixture
+def kept(tmp_path):
+    def write(df, label):
+        df.write.parquet(f"{tmp_path}/{label}")
+        return df.sparkSession.read.parquet(f"{tmp_path}/{label}")
+
+    return write
+
+
+@pytest.mark.parametrize("most", [dedup.MOST_REPEATED, 0])
+def test_rows_read_again_give_the_same_latest(spark, kept, monkeypatch, most):
+    monkeypatch.setattr(dedup, "MOST_REPEATED", most)
+    dice = random.Random(5)
+    rows = [(dice.choice([None, *"abcdefgh"]), dice.choice([None, *range(12)]), dice.choice([None, 1, 2]), dice.choice([None, "x", "y"]), n % 7) for n in range(120)]
+    df = spark.createDataFrame(rows, "k string, l int, at int, filled string, rest int")
+    asked = (df, ["k", "l"], ["at"], ["filled"])
+    found, wanted = dedup.latest_read_again(*asked, kept=kept), dedup.latest_per_key(*asked)
+    assert found.columns == wanted.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_rows_of_a_key_of_their_own_are_not_shuffled(spark, kept):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.lit("text").alias("payload"), F.col("id").alias("at"))
+    found = dedup.latest_read_again(df.union(df.filter("k < 3")), ["k"], ["at"], kept=kept)
+    assert found.count() == 1000
+    first = plan_of(found).split("WindowGroupLimit")[0].split("LeftAnti")[1]
+    assert "Exchange hashpartitioning" not in first
+
+
+def test_floating_point_keys_are_ranked_as_always(spark, kept):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, at int")
+    assert [r["at"] for r in dedup.latest_read_again(df, ["k"], ["at"], kept=kept).collect()] == [2]
