@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import registered_queries
 from railyard.operators import dedup
 from railyard.session import SMALL_TASKS, small_tasks
 from railyard.sources import surrogates
@@ -88,3 +89,8 @@ def test_rows_of_a_key_of_their_own_are_not_shuffled(spark, kept):
 def test_floating_point_keys_are_ranked_as_always(spark, kept):
     df = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "k double, at int")
     assert [r["at"] for r in dedup.latest_read_again(df, ["k"], ["at"], kept=kept).collect()] == [2]
+
+
+def test_first_loads_shuffle_only_repeated_keys(spark):
+    found = registered_queries.first_silvers(spark, SF)
+    assert {rail for rail, rows in found.items() if "LeftAnti" in plan_of(rows)} == set(surrogates.CHEAP_TO_READ)
