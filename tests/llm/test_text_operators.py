@@ -204,6 +204,30 @@ def test_language_model_base_scores(spark):
     assert gained > 0
 
 
+def test_language_model_predicts_words_beyond_the_most_frequent(spark):
+    """Pairs of words far down the vocabulary: a second word that follows its first is likelier by more than a power of
+    ten. (The end after a known pair makes up about a quarter of one.)"""
+    frequent = " ".join(f"f{k} f{k} f{k} f{k}" for k in range(op6_lm.HEAD))
+    texts = [frequent, frequent] + [f"left{k} right{k}" for k in range(40) for _ in range(3)]
+    ids = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(10_000) if not zlib.crc32(str(i).encode()) % 10]
+    asked = [f"left{k} right{k}" for k in range(40)] + [f"left{k} right{(k + 1) % 40}" for k in range(40)]
+    data = list(zip(ids, texts)) + list(zip(held, asked))
+    found = {r.doc_id: r.score for r in op6_lm.score(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    scores = [found[i] for i in held[:80]]
+    assert sum(scores[:40]) > sum(scores[40:]) + 40
+
+
+def test_language_model_bins_share_out_all_other_words():
+    token = np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64)
+    n = np.sort(np.random.default_rng(2).integers(1, 50, 5000))[::-1]
+    in_bins = np.bincount(op6_lm.bin_of(token), weights=n + op6_lm.SMOOTH, minlength=op6_lm.BINS)
+    head = op6_lm.Head(token[:2000], n[:2000], int(n.sum()), len(n), in_bins)
+    rest = head.of_class[-1] * head.bins
+    wanted = np.bincount(op6_lm.bin_of(token[op6_lm.HEAD :]), weights=n[op6_lm.HEAD :] + op6_lm.SMOOTH, minlength=op6_lm.BINS)
+    assert np.allclose(rest * head.total, wanted + op6_lm.SMOOTH / op6_lm.BINS)
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = queries.queries()["op7_toxicity"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
