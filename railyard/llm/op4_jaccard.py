@@ -8,10 +8,12 @@ A document's set holds its distinct word shingles; two documents link at a simil
   shared by many documents groups none of them. Nodes with an equal part form a group; its most central node is the
   pivot.
 * Nodes are compared with their pivots. Linked nodes become components: the similar documents of a group.
-* Token-group matrix. A group that still holds several components gets a matrix row for each: the greatest count of
-  its members' tokens in each of some hash buckets, a bounded form of their token union. A node's overlap with any
-  member is at most the sum of the smaller counts; only components where that is enough for a link are opened, and
-  the node is compared with the members it shares a part with. Nothing is compared twice, nothing is capped.
+* Token-group matrix. Of groups that still hold several components, nodes of which most tokens are in their own
+  component alone link with no other. The rest ask the components that have one of their leading tokens, the rarest
+  of these groups. An asked component gets a matrix row: the greatest count of its members' tokens in each of some
+  hash buckets, a bounded form of their token union. A node's overlap with any member is at most the sum of the
+  smaller counts; only components where that is enough for a link are opened, and the node is compared with the
+  members it shares a leading token with. Nothing is compared twice, nothing is capped.
 
 Comparisons run in salted portions of a pivot's nodes, against one set held at a time.
 
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railyard.llm import arrays, tables
@@ -38,6 +40,7 @@ SEEN = 500_000
 SLOTS = 1 << 20
 SLICES = 64
 LAST = 2
+SOME = 3
 
 
 def size_bounds() -> np.ndarray:
@@ -388,37 +391,95 @@ def plausible(pairs: DataFrame, sizes: DataFrame, known: DataFrame, percent: int
     return possible(pairs.select("a", "b").join(a, "a").join(b, "b"), ["a", "b"], percent)
 
 
-def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs still to be compared: (a, b) of different components in one group whose bound lets them link.
+def tokens_of(texts: DataFrame, width: int, every: int = 1) -> DataFrame:
+    """(token, node, root) for each token of the nodes' sets, of (mark, root, text); or for the tokens of one in
+    ``every`` hashes, the same ones in all sets."""
 
-    Pivots have met all others of their groups, so only the other nodes are left. Of two components one asks: the nodes
-    of the smaller one, as a large group of copies is mostly one component.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mark, root = (batch.column(k).to_numpy() for k in (0, 1))
+            for part in arrays.chunks(batch.column(2)):
+                sets = Sets(part, width)
+                here = slice(part.first, part.first + part.count)
+                # another row with the same id and text hash is left out
+                mine = (sets.mark.view(np.int64) == mark[here])[sets.owner] & (arrays.mix(sets.tokens) % np.uint64(every) == 0)
+                owner = sets.owner[mine]
+                yield pa.RecordBatch.from_arrays([arrays.as_long(sets.tokens[mine]), pa.array(mark[here][owner]), pa.array(root[here][owner])], names=["token", "node", "root"])
+
+    return texts.select("mark", "root", "text").mapInArrow(run, "token long, node long, root long")
+
+
+def spread(tokens: DataFrame) -> DataFrame:
+    """(token, node, root, nodes, low, high): the number of nodes that have the token, and two of their components if
+    there are several. One shuffle, by token."""
+    same = Window.partitionBy("token")
+    return tokens.select("token", "node", "root", F.count("*").over(same).alias("nodes"), F.min("root").over(same).alias("low"), F.max("root").over(same).alias("high"))
+
+
+def fewest(percent: int) -> Column:
+    """How many of its ``n`` tokens a node shares with any it links with, at least."""
+    return F.ceil(F.col("n") * percent / 100)
+
+
+def alone(tokens: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(node) that links with no other component: too many of its tokens, even of those given, are in no other."""
+    own = spread(tokens).filter("low = high").select("token", "node").distinct().groupBy("node").agg(F.count("*").alias("own"))
+    return own.join(sizes, "node").filter(F.col("n") - F.col("own") < fewest(percent)).select("node")
+
+
+def leading(tokens: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(token, node, root, n, place): the tokens of a node one of which it shares with any node of another component
+    that it links with.
+
+    A node links only where it shares ``fewest`` of its tokens, so of these, in one order for all nodes, the first
+    ``n - fewest + 1`` hold a shared one, and likewise those of the other node. Tokens that no other component has come
+    first and are not given. The others follow by their number of nodes, so that the text a large group has in common
+    comes last.
+    """
+    shared = spread(tokens).filter("low <> high").dropDuplicates(["token", "node"]).join(sizes, "node")
+    mine = Window.partitionBy("node")
+    placed = shared.select(
+        "token", "node", "root", "n", F.count("*").over(mine).alias("shared"), F.row_number().over(mine.orderBy("nodes", "token")).alias("rank")
+    )
+    placed = placed.filter(F.col("rank") <= F.col("shared") - fewest(percent) + 1)
+    return placed.select("token", "node", "root", "n", (F.col("n") - F.col("shared") + F.col("rank")).alias("place"))
+
+
+def sharing(lead: DataFrame, percent: int) -> DataFrame:
+    """(a, group_a, b, group_b) of different components that share a leading token and, from the place of the first such
+    token on, have enough tokens left for a link."""
+    a, b = (lead.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "n", "place"))) for x in ("a", "b"))
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+    fits = (F.col("root_a") != F.col("root_b")) & (F.col("node_a") < F.col("node_b")) & (left * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
+    return a.join(b, "token").filter(fits).select(F.col("node_a").alias("a"), F.col("root_a").alias("group_a"), F.col("node_b").alias("b"), F.col("root_b").alias("group_b")).distinct()
+
+
+def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFrame, one_text: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """Pairs still to be compared: (a, b) of different components whose bound lets them link.
+
+    Pivots have met all others of their groups, so only the other nodes of a group with several components are left.
     """
-    rooted = groups.select("sig", "pivot", "node").join(roots, "node", "left").join(sizes, "node")
-    rooted = tables.written(rooted.select("sig", "pivot", "node", F.coalesce("root", "node").alias("root"), "n"), "rooted")
+    rooted = groups.select("sig", "node").join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+    rooted = tables.written(rooted, "rooted")
     mixed = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
-    rooted = tables.written(rooted.join(mixed, "sig", "left_semi"), "mixed")
-    if rooted.isEmpty():
+    left = tables.written(rooted.join(mixed, "sig", "left_semi").select(F.col("node").alias("mark"), "root").distinct(), "left")
+    if left.isEmpty():
         return None
-    # once a pivot, whatever the number of parts: a node asks the components with more members around the pivot
-    around = tables.written(rooted.select("pivot", "node", "root", "n").distinct(), "around")
-    others = around.groupBy("pivot", F.col("root").alias("group")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("members"))
-    others = tables.written(others, "others")
-    own = others.select("pivot", F.col("group").alias("root"), F.col("members").alias("mine"))
-    larger = (F.col("members") > F.col("mine")) | ((F.col("members") == F.col("mine")) & (F.col("root") > F.col("group")))
-    fits = larger & (F.col("high") * 100 >= F.col("n") * percent) & (F.col("low") * percent <= F.col("n") * 100)
-    queries = around.join(own, ["pivot", "root"]).join(others, "pivot").filter(fits).groupBy("node", "group").agg(F.min("n").alias("n"), F.min("low").alias("low"))
-    queries = tables.written(queries, "queries")
-    if queries.isEmpty():
+    gone = tables.written(alone(tokens_of(one_text.join(left, "mark"), width, SOME), sizes, percent), "alone")
+    texts = one_text.join(left.join(gone.select(F.col("node").alias("mark")), "mark", "left_anti"), "mark")
+    lead = tables.written(leading(tokens_of(texts, width), sizes, percent), "leading")
+    pairs = tables.written(sharing(lead, percent), "sharing")
+    if pairs.isEmpty():
         return None
+    queries = pairs.select(F.col("a").alias("node"), F.col("group_b").alias("group")).distinct()
     asked = queries.select("group").distinct()
-    members = rooted.select("node", F.col("root").alias("group")).distinct().join(asked, "group", "left_semi").join(known, "node")
-    matrix = tables.written(unions(members), "matrix")
-    qualifying = possible(queries.join(known, "node").join(matrix, "group"), ["node", "group"], percent)
-    qualifying = tables.written(qualifying, "qualifying")
-    near = rooted.select("sig", F.col("node").alias("member"), F.col("root").alias("group"))
-    pairs = rooted.select("sig", "node").join(qualifying, "node").join(near, ["sig", "group"])
-    return pairs.select(F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")).distinct()
+    members = left.select(F.col("mark").alias("node"), F.col("root").alias("group")).join(asked, "group", "left_semi").join(known, "node").join(sizes, "node")
+    members = tables.written(members, "members")
+    low = members.groupBy("group").agg(F.min("n").alias("low"))
+    matrix = tables.written(unions(members).join(low, "group"), "matrix")
+    qualifying = possible(queries.join(sizes, "node").join(known, "node").join(matrix, "group"), ["node", "group"], percent)
+    qualifying = qualifying.select(F.col("node").alias("a"), F.col("group").alias("group_b"))
+    return pairs.join(qualifying, ["a", "group_b"], "left_semi").select("a", "b").distinct()
 
 
 def close(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -469,7 +530,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     rest = likely.select("a", "b").join(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti")
     more(tables.written(plausible(apart(rest, roots), sizes, known, percent), "rest"))
-    pairs = opened(groups, roots, sizes, known, percent)
+    pairs = opened(groups, roots, sizes, known, one_text, width, percent)
     if pairs is not None:
         pairs = close(pairs, sizes, percent).join(likely.select("a", "b"), ["a", "b"], "left_anti")
         more(tables.written(plausible(pairs, sizes, known, percent), "opened"))

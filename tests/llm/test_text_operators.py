@@ -155,6 +155,55 @@ def test_jaccard_equals_brute_force(spark):
     assert kept == {find(i) for i in range(len(texts))}
 
 
+def linked_roots(texts):
+    sets = shingle_sets(texts)
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+
+
+def family(rng, size):
+    """Short texts that share most of their words, few of which link: edited copies, cut ones, edits of edits."""
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [list(base)]
+    while len(texts) < size:
+        copy = list(rng.choice(texts) if rng.random() < 0.3 else base)
+        for _ in range(rng.choice([1, 3, 3, 4, 5])):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        texts.append(copy[rng.choice([0, 0, 0, 9]) :])
+    return [" ".join(t) for t in texts]
+
+
+def test_jaccard_of_a_family_that_hardly_links(spark, monkeypatch):
+    """Every link between the components of a large group is found, without a row for each node and other component."""
+    texts = family(random.Random(11), 500)
+    written, rows = op4_jaccard.tables.written, {}
+
+    def counted(df, label):
+        out = written(df, label)
+        rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(op4_jaccard.tables, "written", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in op4_jaccard.join(docs(spark, texts)).collect()}
+    wanted = linked_roots(texts)
+    assert found == wanted and 50 < len({c for _, c in wanted.values()}) < 450
+    assert max(rows.get(label, 0) for label in ("queries", "sharing")) < 10 * len(texts)
+    assert rows["left"] > 100 and rows["leading"] > 100
+
+
 def test_one_row_of_each_group_stays(spark):
     rng = random.Random(8)
 
