@@ -454,6 +454,40 @@ def sharing(lead: DataFrame, percent: int) -> DataFrame:
     return a.join(b, "token").filter(fits).select(F.col("node_a").alias("a"), F.col("root_a").alias("group_a"), F.col("node_b").alias("b"), F.col("root_b").alias("group_b")).distinct()
 
 
+def marked(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``texts`` less rows that none of ``nodes`` can be: a fixed number of slots of node hashes, whatever the corpus,
+    so that a join with the nodes does not move the other texts. Nodes whose slots are full keep a few too many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(SLOTS * 8, bool)
+        for batch in batches:
+            bits[slot_of(batch.column(0).to_numpy().view(np.uint64), len(bits))] = True
+        cuts = bits.reshape(SLICES, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([np.packbits(c).tobytes() for c in cuts], pa.binary())], names=["slice", "blob"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                one = np.frombuffer(blob.as_buffer(), np.uint8)
+                both[k] = both[k] | one if k in both else one
+        yield pa.RecordBatch.from_arrays([pa.array(list(both), pa.int32()), pa.array([x.tobytes() for x in both.values()], pa.binary())], names=["slice", "blob"])
+
+    schema = "slice int, blob binary"
+    rows = nodes.select("mark").mapInArrow(run, schema).repartition("slice").mapInArrow(add, schema).collect()  # 1 MB in SLICES rows
+    found = np.zeros((SLICES, SLOTS // SLICES), np.uint8)
+    for r in rows:
+        found[r["slice"]] = np.frombuffer(r["blob"], np.uint8)
+    shared = nodes.sparkSession.sparkContext.broadcast(found.reshape(-1))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = slot_of(batch.column(0).to_numpy().view(np.uint64), SLOTS * 8)
+            yield batch.filter(pa.array((shared.value[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)))
+
+    return texts.mapInArrow(chosen, texts.schema)
+
+
 def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFrame, one_text: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Pairs still to be compared: (a, b) of different components whose bound lets them link.
 
@@ -465,9 +499,9 @@ def opened(groups: DataFrame, roots: DataFrame, sizes: DataFrame, known: DataFra
     left = tables.written(rooted.join(mixed, "sig", "left_semi").select(F.col("node").alias("mark"), "root").distinct(), "left")
     if left.isEmpty():
         return None
-    gone = tables.written(alone(tokens_of(one_text.join(left, "mark"), width, SOME), sizes, percent), "alone")
-    texts = one_text.join(left.join(gone.select(F.col("node").alias("mark")), "mark", "left_anti"), "mark")
-    lead = tables.written(leading(tokens_of(texts, width), sizes, percent), "leading")
+    gone = alone(tokens_of(marked(left, one_text).join(left, "mark"), width, SOME), sizes, percent).select(F.col("node").alias("mark"))
+    asking = tables.written(left.join(gone, "mark", "left_anti"), "asking")
+    lead = tables.written(leading(tokens_of(marked(asking, one_text).join(asking, "mark"), width), sizes, percent), "leading")
     pairs = tables.written(sharing(lead, percent), "sharing")
     if pairs.isEmpty():
         return None
