@@ -277,6 +277,43 @@ def test_language_model_bins_share_out_all_other_words():
     assert np.allclose(rest * head.total, wanted + op6_lm.SMOOTH / op6_lm.BINS)
 
 
+def test_language_model_predicts_words_by_the_word_before_the_last(spark):
+    """The word before is the same everywhere, so only the skipped word, or both together, can tell which one follows."""
+    frequent = " ".join(f"f{k} f{k} f{k} f{k}" for k in range(op6_lm.HEAD))
+    texts = [frequent, frequent] + [f"left{k} f7 right{k}" for k in range(40) for _ in range(3)]
+    ids = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(10_000) if not zlib.crc32(str(i).encode()) % 10]
+    asked = [f"left{k} f7 right{k}" for k in range(40)] + [f"left{k} f7 right{(k + 1) % 40}" for k in range(40)]
+    data = list(zip(ids, texts)) + list(zip(held, asked))
+    found = {r.doc_id: r.score for r in op6_lm.score(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    scores = [found[i] for i in held[:80]]
+    assert sum(scores[:40]) > sum(scores[40:]) + 20
+
+
+def test_language_model_weights_are_trained_to_their_maximum():
+    """At the maximum what is expected of each feature is what was observed, and all cells' probabilities add up to 1."""
+    shape = op6_lm.Softmaxes(op6_lm.Grid((2, 2), (1, 2), 5), 1, 3, 0)
+    random_numbers = np.random.default_rng(1)
+    seen, cells = np.zeros(shape.size), random_numbers.integers(0, 12, 4000) ** 2 // 11
+    outcome = np.where(random_numbers.random(4000) < 0.6, cells % 3, random_numbers.integers(0, 3, 4000))
+    rows = cells // 3, cells % 3, shape.grid.pair[cells], cells
+    for place in shape.places(0, outcome, rows):
+        np.add.at(seen, place, 1)
+    measure = np.array([0.5, 0.3, 0.2])
+    weights = op6_lm.fitted(seen, measure, shape, tolerance=1e-12).astype(float)
+    every = [np.repeat(x, 3) for x in (np.arange(12) // 3, np.arange(12) % 3, shape.grid.pair, np.arange(12))]
+    places = shape.places(0, np.tile(np.arange(3), 12), every)
+    p = np.exp(sum(weights[x] for x in places)).reshape(12, 3) * measure
+    assert np.allclose(p.sum(1), 1, atol=1e-5)
+    expected = (p * np.bincount(cells, minlength=12)[:, None]).ravel()
+    for place, size, start in zip(places, shape.grid.sizes, shape.starts):
+        mean, theta = np.zeros(shape.size), weights[start : start + size * 3].reshape(size, 3)
+        np.add.at(mean, place, expected)
+        own = measure * np.exp(theta) / (measure * np.exp(theta)).sum(1, keepdims=True)
+        part = slice(start, start + size * 3)
+        assert np.allclose(mean[part] + op6_lm.PRIOR * own.ravel(), seen[part] + op6_lm.PRIOR * np.tile(measure, size), rtol=1e-2, atol=0.2)
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = queries.queries()["op7_toxicity"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
