@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from railyard import contracts
 from railyard.checks import CHECKS
-from railyard.operators.dedup import latest_per_key, latest_read_again, not_null_key
+from railyard.operators.dedup import EARLY, LATEST, latest_at, latest_per_key, latest_read_again, not_null_key
 from railyard.operators.directory import KeyDirectory
 from railyard.operators.incremental import high_water, since_high_water
 from railyard.operators.merge import merge_into_parquet, merge_upsert
@@ -40,6 +40,15 @@ def silver(rail: Rail, bronze: DataFrame, kept: Callable[[DataFrame, str], DataF
     return cleanse(rail, latest)
 
 
+def silver_at(rail: Rail, bronze: DataFrame, early: Column) -> DataFrame:
+    """``silver`` of all rows and of the ``early`` ones by one pass; ``LATEST`` and ``EARLY`` tell whose row it is."""
+    source = bronze.select(*rail.source_columns)
+    if rail.drop_null_key:
+        source = not_null_key(source, rail.dedup_keys)
+    latest = latest_at(source, rail.dedup_keys, order=[rail.event_time], prefer=rail.prefer, early=early)
+    return latest.select([f.column() for f in rail.fields] + [LATEST, EARLY])
+
+
 def cleanse(rail: Rail, latest: DataFrame) -> DataFrame:
     return latest.select([f.column() for f in rail.fields])
 

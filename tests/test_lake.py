@@ -33,3 +33,18 @@ def test_tables_are_written_once_and_all_by_build(spark, monkeypatch):
     assert len(paths) == 5 + 1 + 3
     monkeypatch.setattr(rq.tables, "full_refresh", None)  # nothing is written a second time
     rq.Lake(spark, SF_DIR).build()
+
+
+def test_first_load_and_now_come_from_one_pass_over_a_rail_that_is_dear_to_read(spark, monkeypatch):
+    monkeypatch.setattr(rq, "_LAKES", {})
+    read = []
+    bronze_of = rq.bronze_of
+    monkeypatch.setattr(rq, "bronze_of", lambda s, d, rail: read.append(rail) or bronze_of(s, d, rail))
+    lake = rq.Lake(spark, SF_DIR)
+    rq.queries()["aud5_reconcile"](spark, SF_DIR).count()
+    assert all(read.count(rail) == 1 for rail in ("ach", "wallet", "atm", "meeza"))
+    for rail in ("ach", "wallet", "ipn"):
+        first = rq.silver_from(rail, rq.first_load(spark, SF_DIR, rail))
+        for got, wanted in ((lake.first_silvers[rail], first), (lake.silver(rail), rq.silver_of(spark, SF_DIR, rail))):
+            assert got.columns == wanted.columns and got.count() == wanted.count()
+            assert got.exceptAll(wanted).count() == 0
