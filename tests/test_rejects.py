@@ -158,6 +158,28 @@ def test_a_stream_goes_on_past_bad_records(spark, tmp_path):
     assert sorted(r.seq for r in stream.read_rejects(spark, lost).collect()) == [1, 2, 3, 4]
 
 
+def test_flat_records_are_checked_by_compiled_code(spark):
+    """A step with a function over an array's elements, such as a filter, is interpreted row by row."""
+    plan = topic.checked(records(spark, STORY), ACH)._jdf.queryExecution().executedPlan().toString()
+    steps = [line.split("Generate")[0] for line in plan.splitlines() if "Generate explode" in line]
+    assert len(steps) == 10 and all("*(" in step for step in steps)
+
+
+def test_a_batch_is_kept_without_the_texts_of_records_that_fit(spark):
+    rows = topic.checked(records(spark, STORY, *BAD), ACH).withColumn("_event_time", F.current_timestamp())
+    setting = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(setting)
+    try:
+        kept = stream.parsed_once(rows, ACH)
+    finally:
+        spark.conf.set(setting, before)
+    fit = kept.filter(F.col(rejects.REASON).isNull())
+    assert fit.count() == len(STORY) and fit.filter(F.coalesce(topic.RECORD_KEY, topic.RECORD_VALUE).isNotNull()).count() == 0
+    assert sorted(map(str, topic.rejected(kept).collect())) == sorted(map(str, topic.rejected(rows).collect()))
+    columns = topic.changelog_schema(ACH).names
+    assert kept.select(*columns).exceptAll(rows.select(*columns)).count() == 0
+
+
 def test_a_replayed_batch_replaces_its_rejects(spark, tmp_path):
     lost = str(tmp_path / "rejects")
     rows = topic.checked(records(spark, STORY, *BAD), ACH)
